@@ -47,24 +47,16 @@ def int_mean(value: Column | str) -> Column:
     return F.sum(_column(value).cast("bigint")).cast("double") / F.count(_column(value))
 
 
-def ratio_parts(value: Column | str) -> tuple[Column, Column]:
-    """Sums of the high and of the low bits of a ratio; both may be summed further."""
-    fine = units(value, RATIO_STEP)
-    return F.sum(F.shiftright(fine, _HALF_BITS)), F.sum(fine.bitwiseAND(F.lit(_HALF - 1)))
-
-
-def ratio_total(high: Column, low: Column) -> Column:
-    """The sum of ratios whose parts are given, joined exactly."""
-    return from_units(high.cast("decimal(38,0)") * F.lit(_HALF) + low, RATIO_STEP)
-
-
 def ratio_mean(value: Column | str) -> Column:
     """AVG of a ratio or of a mean.
 
     The finer step could overflow one bigint at cluster scale, so the high and the low
-    bits are summed apart and joined again once per group.
+    bits are summed apart and joined again, exactly, once per group.
     """
-    return ratio_total(*ratio_parts(value)) / F.count(_column(value))
+    fine = units(value, RATIO_STEP)
+    high = F.sum(F.shiftright(fine, _HALF_BITS)).cast("decimal(38,0)")
+    low = F.sum(fine.bitwiseAND(F.lit(_HALF - 1)))
+    return from_units(high * F.lit(_HALF) + low, RATIO_STEP) / F.count(_column(value))
 
 
 def count_where(test: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tripmill.functions.arguments import check_limit
 from tripmill.functions.exact import count_where, minutes, percent, round_half_up
 from tripmill.functions.ranking import top
+from tripmill.operators.quantiles import grouped_quantiles
 from tripmill.operators.star import with_both_zones, with_payment_type, with_rate_code
 from tripmill.plans.tables import TripTables
 
@@ -98,29 +99,23 @@ def no_tip_expensive(t: TripTables, limit: int = 100) -> DataFrame:
     return top(rows, check_limit(limit), F.col("fare_amount").desc())
 
 
-def value_counts(trips: DataFrame, column: str) -> DataFrame:
-    """How often each value occurs; all reduction happens before the shuffle."""
-    return trips.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+def quantiles_of(trips: DataFrame, column: str, **shares: float) -> Column:
+    """Exact quantiles of a whole column, as fields of a value usable inside a filter.
 
-
-def quantiles_of(trips: DataFrame, column: str, shares: list[float]) -> Column:
-    """Exact quantiles of a whole column, as one array usable inside a filter.
-
-    Fares and distances are hundredths below a few hundred and durations are whole
-    seconds below two hours, so the final task handles some ten thousand counted values.
     As a scalar subquery the result needs no join and is computed once.
     """
-    wanted = F.array(*[F.lit(s) for s in shares])
-    return value_counts(trips, column).agg(F.percentile("value", wanted, F.col("n"))).scalar()
+    counts = trips.groupBy(column).agg(F.count("*").alias("n"))
+    found = grouped_quantiles(counts, [], column, "n", shares)
+    return found.select(F.struct(*shares)).scalar()
 
 
-def _far_trips(t: TripTables) -> DataFrame:
+def _far(t: TripTables) -> Column:
     usual = t.fact_trip.filter((_miles() > 0) & (_miles() < 200))
-    return t.fact_trip.filter(_miles() > quantiles_of(usual, "trip_distance", [0.99])[0])
+    return _miles() > quantiles_of(usual, "trip_distance", p99=0.99)["p99"]
 
 
 def extreme_distance(t: TripTables, limit: int = 100) -> DataFrame:
-    rows = _zoned(t, _far_trips(t)).select(
+    rows = _zoned(t, t.fact_trip.filter(_far(t))).select(
         "trip_id",
         "pickup_datetime",
         "pickup_zone",
@@ -159,14 +154,12 @@ def _tip_possible(t: TripTables) -> DataFrame:
 
 def summary(t: TripTables) -> DataFrame:
     """Five kinds of anomaly counted in one pass, one row per kind."""
-    usual = t.fact_trip.filter((_miles() > 0) & (_miles() < 200))
-    far = quantiles_of(usual, "trip_distance", [0.99])[0]
     # Names of the kinds.
     kinds = {
         "High fare per mile (>$50/mi)": (_miles() > 0) & _dear_per_mile(),
         "Severe traffic (<2 mph, >30 min)": _stuck(),
         "No tip on expensive trip (>$50)": _dear_untipped() & F.col("allows_tip"),
-        "Extreme distance (>99th percentile)": _miles() > far,
+        "Extreme distance (>99th percentile)": _far(t),
         "Round negotiated fares": _fare().isin(ROUND_FARES) & F.col("is_standard"),
     }
     counted = _tip_possible(t).agg(
@@ -190,9 +183,9 @@ def outlier_percentiles(t: TripTables, limit: int = 200) -> DataFrame:
     }
     marks = {}
     for name, (column, low, high) in labels.items():
-        ends = quantiles_of(trips, column, [0.01, 0.99])
+        ends = quantiles_of(trips, column, p01=0.01, p99=0.99)
         value = F.col(column)
-        marks[f"{name}_outlier"] = F.when(value < ends[0], low).when(value > ends[1], high)
+        marks[f"{name}_outlier"] = F.when(value < ends["p01"], low).when(value > ends["p99"], high)
     marked = trips.withColumns(marks).filter(F.coalesce(*marks).isNotNull())
     rows = marked.select("trip_id", "pickup_datetime", "fare_amount", "trip_distance", _duration(), *marks)
     return top(rows, check_limit(limit), F.col("pickup_datetime").desc())

@@ -1,10 +1,9 @@
-"""Exact interpolated quantiles per group, for values without a small domain.
+"""Exact interpolated quantiles from counted values.
 
-Spark's ``percentile`` keeps every distinct value of a group in one buffer. That suits
-fares counted in cents, but not a ratio, which may take as many values as there are trips.
-Here equal values are counted first, each group is cut into narrow value intervals, and
-only the intervals that hold a wanted rank are looked into. No task ever sees a whole
-group, and nothing is approximated.
+Spark's ``percentile`` keeps every distinct value of a group in one aggregation buffer.
+Here equal values are counted first, by a plain ``groupBy`` on keys and value: most of the
+work is done before the shuffle and a group with a third of all rows is spread over its
+values. What is left are running totals over counted values.
 """
 
 from __future__ import annotations
@@ -21,6 +20,42 @@ _PER_OCTAVE = 256
 _ZERO_GAP = 1 << 20
 
 
+def _holds(rank: Column, start: Column, rows: Column) -> Column:
+    return (rank >= start) & (rank < start + rows)
+
+
+def _place(share: float) -> Column:
+    """Rank of a quantile, counted from 0 and usually between two rows."""
+    return F.col("_last").cast("double") * F.lit(share)
+
+
+def with_ranks(counts: DataFrame, keys: Sequence[str], value: str, count: str) -> DataFrame:
+    """Add the rank of the first row of each value and of the last row of its group.
+
+    One task handles the distinct values of a group, sorted and spilling when needed; use
+    it where their number is bounded, and ``grouped_quantiles`` where it is not.
+    """
+    group = Window.partitionBy(*keys)
+    before = group.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumns(
+        {
+            "_start": F.coalesce(F.sum(count).over(before), F.lit(0)),
+            "_last": F.sum(count).over(group) - 1,
+        }
+    )
+
+
+def quantile(share: float, value: Column, count: str) -> Column:
+    """Aggregate of rows from ``with_ranks``: the two rows around the place, interpolated."""
+    place = _place(share)
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when(_holds(rank, F.col("_start"), F.col(count)), value))
+
+    low, high = at(F.floor(place)), at(F.ceil(place))
+    return low + (high - low) * F.max(place - F.floor(place))
+
+
 def _interval(value: Column) -> Column:
     """Number of the interval a value lies in; grows with the value."""
     size = F.floor(F.log2(F.abs(value)) * F.lit(_PER_OCTAVE)) + F.lit(_ZERO_GAP)
@@ -30,56 +65,29 @@ def _interval(value: Column) -> Column:
 def grouped_quantiles(
     counts: DataFrame, keys: Sequence[str], value: str, count: str, shares: dict[str, float]
 ) -> DataFrame:
-    """Quantiles of ``value`` per group of ``keys``, linearly interpolated.
+    """Quantiles per group for values that may all differ, such as ratios.
 
-    ``counts`` holds each value of a group with its number of rows in ``count``, best made
-    by a plain ``groupBy`` on keys and value; NULL values are left out. ``shares`` maps
+    Each group is cut into narrow value intervals and only those that hold a wanted rank
+    are looked into, so that no task sees a whole group. ``counts`` holds each value of a
+    group with its number of rows in ``count``; NULL values are left out. ``shares`` maps
     result columns to the wanted share, such as ``{"median": 0.5}``.
     """
     keys = list(keys)
     known = counts.filter(F.col(value).isNotNull()).select(
         *keys, F.col(value).alias("_v"), F.col(count).alias("_n"), _interval(F.col(value)).alias("_i")
     )
-    # Rows before each interval; one row per group and interval, a few thousand at most.
-    in_group = Window.partitionBy(*keys)
-    earlier = in_group.orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)
-    intervals = (
-        known.groupBy(*keys, "_i")
-        .agg(F.sum("_n").alias("_rows"))
-        .withColumns(
-            {
-                "_before": F.coalesce(F.sum("_rows").over(earlier), F.lit(0)),
-                "_last": F.sum("_rows").over(in_group) - 1,
-            }
-        )
-    )
-    place = {name: F.col("_last").cast("double") * F.lit(share) for name, share in shares.items()}
-
-    def holds(rank: Column, before: Column, rows: Column) -> Column:
-        return (rank >= before) & (rank < before + rows)
-
-    def any_rank(before: Column, rows: Column) -> Column:
-        tests = [holds(end(p), before, rows) for p in place.values() for end in (F.floor, F.ceil)]
-        return reduce(Column.__or__, tests)
-
-    wanted = intervals.filter(any_rank(F.col("_before"), F.col("_rows"))).select(
-        *[F.col(k).alias(f"_{k}") for k in keys], F.col("_i").alias("_wanted"), "_before", "_last"
+    # One row per group and interval: a few thousand per group at most.
+    intervals = known.groupBy(*keys, "_i").agg(F.sum("_n").alias("_rows"))
+    intervals = with_ranks(intervals, keys, "_i", "_rows")
+    ends = [end(_place(share)) for share in shares.values() for end in (F.floor, F.ceil)]
+    holds_any = reduce(Column.__or__, [_holds(rank, F.col("_start"), F.col("_rows")) for rank in ends])
+    wanted = intervals.filter(holds_any).select(
+        *[F.col(k).alias(f"_{k}") for k in keys], F.col("_i").alias("_wanted"), F.col("_start").alias("_first"), "_last"
     )
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col("_i") == F.col("_wanted")]
     inside = known.join(wanted, reduce(Column.__and__, same))
-    within = Window.partitionBy(*keys, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = inside.withColumn("_start", F.col("_before") + F.coalesce(F.sum("_n").over(within), F.lit(0)))
-
-    ends = []
-    for name, p in place.items():
-        for tag, end in (("_lo", F.floor), ("_hi", F.ceil)):
-            hit = holds(end(p), F.col("_start"), F.col("_n"))
-            ends.append(F.max(F.when(hit, F.col("_v"))).alias(name + tag))
-    found = ranked.groupBy(*keys).agg(F.max("_last").alias("_last"), *ends)
-
-    def between(name: str) -> Column:
-        p, low, high = place[name], F.col(name + "_lo"), F.col(name + "_hi")
-        exact = (F.ceil(p) - p) * low + (p - F.floor(p)) * high
-        return F.when(F.floor(p) == F.ceil(p), low).otherwise(exact)
-
-    return found.select(*keys, *[between(name).alias(name) for name in shares])
+    before = Window.partitionBy(*keys, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = inside.withColumn("_start", F.col("_first") + F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    return ranked.groupBy(*keys).agg(
+        *[quantile(share, F.col("_v"), "_n").alias(name) for name, share in shares.items()]
+    )

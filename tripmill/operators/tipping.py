@@ -10,16 +10,12 @@ from pyspark.sql import functions as F
 from tripmill.functions.bands import Bands
 from tripmill.functions.exact import (
     count_where,
-    from_units,
     int_mean,
     mean,
     minutes,
     percent,
     ratio_mean,
-    ratio_parts,
-    ratio_total,
     round_half_up,
-    units,
 )
 from tripmill.functions.ranking import over_all
 from tripmill.operators.quantiles import grouped_quantiles
@@ -57,38 +53,23 @@ def _paid(t: TripTables) -> DataFrame:
 def by_payment_type(t: TripTables) -> DataFrame:
     """Share, tips and tip quartiles per payment type.
 
-    Trips are counted per payment type and ratio first; averages and quartiles are both
-    taken from those counts, so the fact table is read once and shuffled once.
+    The sums shuffle a handful of rows. The quartiles need every distinct ratio, and ratios
+    are as good as unbounded, hence the operator that never gathers a group in one task.
     """
-    high, low = ratio_parts("tip_percentage")
-    counts = (
+    grouped = (
         _paid(t)
-        .groupBy(*_PAYMENT, "tip_percentage")
+        .groupBy(*_PAYMENT)
         .agg(
-            F.count("*").alias("n"),
-            F.sum(units("tip_amount")).alias("tips"),
-            F.count("tip_amount").alias("tip_rows"),
-            F.sum(units("fare_amount")).alias("fares"),
-            _tipped().alias("tipped"),
-            F.count("tip_percentage").alias("ratio_rows"),
-            high.alias("ratio_high"),
-            low.alias("ratio_low"),
+            F.count("*").alias("trip_count"),
+            mean("tip_amount").alias("avg_tip"),
+            mean("fare_amount").alias("avg_fare"),
+            ratio_mean("tip_percentage").alias("avg_tip_pct"),
+            _tipped().alias("trips_with_tip"),
         )
     )
-    quartiles = grouped_quantiles(
-        counts,
-        _PAYMENT,
-        "tip_percentage",
-        "n",
-        {"tip_pct_q25": 0.25, "tip_pct_median": 0.5, "tip_pct_q75": 0.75},
-    )
-    grouped = counts.groupBy(*_PAYMENT).agg(
-        F.sum("n").alias("trip_count"),
-        (from_units(F.sum("tips")) / F.sum("tip_rows")).alias("avg_tip"),
-        (from_units(F.sum("fares")) / F.sum("n")).alias("avg_fare"),
-        (ratio_total(F.sum("ratio_high"), F.sum("ratio_low")) / F.sum("ratio_rows")).alias("avg_tip_pct"),
-        F.sum("tipped").alias("trips_with_tip"),
-    )
+    counts = _paid(t).groupBy(*_PAYMENT, "tip_percentage").agg(F.count("*").alias("n"))
+    shares = {"tip_pct_q25": 0.25, "tip_pct_median": 0.5, "tip_pct_q75": 0.75}
+    quartiles = grouped_quantiles(counts, _PAYMENT, "tip_percentage", "n", shares)
     quartiles = quartiles.withColumnsRenamed({k: f"_{k}" for k in _PAYMENT})
     same = reduce(Column.__and__, [F.col(k) == F.col(f"_{k}") for k in _PAYMENT])
     joined = grouped.join(quartiles, same, "left").drop(*[f"_{k}" for k in _PAYMENT])

@@ -75,10 +75,11 @@ def raw_trips(t: CommerceTables, scope: DataFrame | None = None) -> DataFrame:
     )
     timed = joined.withColumn("tpep_pickup_datetime", pickup)
     priced = timed.select(
-        # Lines may share order and line number, hence the last six digits.
+        # Lines may share order and line number, hence the low bits from part and supplier.
+        # Fits a bigint up to order keys of 10^12.
         (
-            (F.col("l_orderkey") * 10 + line) * F.lit(1_000_000)
-            + (part * 31 + supp * 17) % F.lit(1_000_000)
+            (F.col("l_orderkey") * 8 + line) * F.lit(1_048_576)
+            + (part * 7919 + supp * 104_729) % F.lit(1_048_576)
         ).alias("trip_id"),
         F.when(supp % 10 == 0, 6)
         .when(supp % 10 == 1, 7)
