@@ -99,19 +99,27 @@ def no_tip_expensive(t: TripTables, limit: int = 100) -> DataFrame:
     return top(rows, check_limit(limit), F.col("fare_amount").desc())
 
 
-def quantiles_of(trips: DataFrame, column: str, **shares: float) -> Column:
-    """Exact quantiles of a whole column, as fields of a value usable inside a filter.
+def quantiles_of(trips: DataFrame, columns: list[str], shares: list[float]) -> dict[str, list[Column]]:
+    """Exact quantiles of whole columns, as values usable inside a filter.
 
-    As a scalar subquery the result needs no join and is computed once.
+    All columns are counted in one pass. As a scalar subquery the result needs no join and
+    is computed once.
     """
-    counts = trips.groupBy(column).agg(F.count("*").alias("n"))
-    found = grouped_quantiles(counts, [], column, "n", shares)
-    return found.select(F.struct(*shares)).scalar()
+    pairs = [x for c in columns for x in (F.lit(c), F.col(c).cast("double"))]
+    long = trips.select(F.stack(F.lit(len(columns)), *pairs).alias("measure", "value"))
+    counts = long.groupBy("measure", "value").agg(F.count("*").alias("n"))
+    names = [f"q{i}" for i in range(len(shares))]
+    found = grouped_quantiles(counts, ["measure"], "value", "n", dict(zip(names, shares)))
+    fields = [
+        F.max(F.when(F.col("measure") == c, F.col(q))).alias(f"{c}_{q}") for c in columns for q in names
+    ]
+    result = found.agg(F.struct(*fields).alias("result")).scalar()
+    return {c: [result[f"{c}_{q}"] for q in names] for c in columns}
 
 
 def _far(t: TripTables) -> Column:
     usual = t.fact_trip.filter((_miles() > 0) & (_miles() < 200))
-    return _miles() > quantiles_of(usual, "trip_distance", p99=0.99)["p99"]
+    return _miles() > quantiles_of(usual, ["trip_distance"], [0.99])["trip_distance"][0]
 
 
 def extreme_distance(t: TripTables, limit: int = 100) -> DataFrame:
@@ -181,11 +189,12 @@ def outlier_percentiles(t: TripTables, limit: int = 200) -> DataFrame:
         "distance": ("trip_distance", "Very short trip", "Very long trip"),
         "duration": ("trip_duration_seconds", "Very fast trip", "Very slow trip"),
     }
+    ends = quantiles_of(trips, [column for column, _, _ in labels.values()], [0.01, 0.99])
     marks = {}
     for name, (column, low, high) in labels.items():
-        ends = quantiles_of(trips, column, p01=0.01, p99=0.99)
+        first, last = ends[column]
         value = F.col(column)
-        marks[f"{name}_outlier"] = F.when(value < ends["p01"], low).when(value > ends["p99"], high)
+        marks[f"{name}_outlier"] = F.when(value < first, low).when(value > last, high)
     marked = trips.withColumns(marks).filter(F.coalesce(*marks).isNotNull())
     rows = marked.select("trip_id", "pickup_datetime", "fare_amount", "trip_distance", _duration(), *marks)
     return top(rows, check_limit(limit), F.col("pickup_datetime").desc())

@@ -13,6 +13,8 @@ from tripmill.functions.exact import count_where, percent
 _REQUIRED_RAW = ["VendorID", "payment_type", "RatecodeID", "total_amount"]
 # A trip id is the file's number followed by the row's position in the file.
 _ROW_BITS = 40
+# Year or year-month standing by itself in a file or folder name.
+_PERIOD = r"(?<![0-9A-Za-z])((?:19|20)\d{2}(?:-(?:0[1-9]|1[0-2]))?)(?![0-9A-Za-z])"
 
 
 def home_ids(locations: DataFrame, home: str) -> DataFrame:
@@ -129,16 +131,16 @@ def elapsed_seconds() -> Column:
 def build_fact(trips: DataFrame) -> DataFrame:
     """Project clean trips, with a ``trip_id``, onto the fact columns.
 
-    ``source_period`` (year or year-month, from the file name) is carried along as the
-    partition column of the stored table.
+    ``source_period`` (year or year-month, from the file's name or else its folder) is
+    carried along as the partition column of the stored table.
     """
     pickup = F.col("tpep_pickup_datetime")
     weekday = F.dayofweek(pickup) - 1  # Sunday is 0
     fare, miles, tip = F.col("fare_amount"), F.col("trip_distance"), F.col("tip_amount")
     hours = F.col("trip_duration_seconds") / F.lit(3600.0)
-    period = F.coalesce(
-        F.nullif(F.regexp_extract("source_file", r"(\d{4}(?:-\d{2})?)", 1), F.lit("")), F.lit("unknown")
-    )
+    name = F.substring_index("source_file", "/", -1)
+    found = [F.nullif(F.regexp_extract(text, _PERIOD, 1), F.lit("")) for text in (name, "source_file")]
+    period = F.coalesce(*found, F.lit("unknown"))
     plain = trips.select(
         "trip_id",
         F.col("VendorID").alias("vendor_id"),

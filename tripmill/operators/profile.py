@@ -51,13 +51,20 @@ def home_zones(t: TripTables) -> DataFrame:
     )
 
 
+def _routes(t: TripTables) -> DataFrame:
+    """Raw trips per pair of ends: as many rows as there are routes, whatever the input."""
+    return t.raw.groupBy("PULocationID", "DOLocationID").agg(F.count("*").alias("n"))
+
+
 def _share_of_raw(t: TripTables, test: Column, name: str, percentage: str, with_total: bool) -> DataFrame:
-    hits = count_where(test)
-    columns = [F.count("*").alias("total_trips")] if with_total else []
-    return clean.with_home_ends(t.raw, t.home_ids).agg(
+    """Counting per route first leaves the lookup of home zones to a few thousand rows."""
+    trips_all = F.coalesce(F.sum("n"), F.lit(0))
+    hits = F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0))
+    columns = [trips_all.alias("total_trips")] if with_total else []
+    return clean.with_home_ends(_routes(t), t.home_ids).agg(
         *columns,
         hits.alias(name),
-        round_half_up(percent(hits, F.count("*")), 2).alias(percentage),
+        round_half_up(percent(hits, trips_all), 2).alias(percentage),
     )
 
 
@@ -87,9 +94,8 @@ def top_routes(t: TripTables, limit: int = 10) -> DataFrame:
 
 
 def location_cardinality(t: TripTables) -> DataFrame:
-    """Trips and distinct ends. Counting per route first leaves few rows to deduplicate."""
-    routes = t.raw.groupBy("PULocationID", "DOLocationID").agg(F.count("*").alias("n"))
-    return routes.agg(
+    """Trips and distinct ends; again few rows are left to deduplicate."""
+    return _routes(t).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_trips"),
         F.count_distinct("PULocationID").alias("unique_pickup_zones"),
         F.count_distinct("DOLocationID").alias("unique_dropoff_zones"),

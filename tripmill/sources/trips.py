@@ -40,24 +40,20 @@ def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
     """Raw trips from Parquet files, directories or globs.
 
     Pass one path per schema generation: each is read with the types in its own footers
-    and brought to the common schema. Every row keeps its file name and its position in
-    that file, which together identify it however often a task is run again.
+    and brought to the common schema. Every row keeps the path of its file and its position
+    in that file, which together identify it however often a task is run again.
     """
     if not paths:
         raise ValueError("no trip files given")
 
-    def one(path: str) -> DataFrame:
-        files = spark.read.parquet(path)
-        return conform(
-            files.withColumns(
-                {
-                    "source_file": F.col("_metadata.file_name"),
-                    "source_row": F.col("_metadata.row_index"),
-                }
-            )
-        )
+    return reduce(DataFrame.unionByName, [conform(with_origin(spark.read.parquet(p))) for p in paths])
 
-    return reduce(DataFrame.unionByName, [one(p) for p in paths])
+
+def with_origin(files: DataFrame) -> DataFrame:
+    """Add file path and row position; a name alone may occur in several folders."""
+    return files.withColumns(
+        {"source_file": F.col("_metadata.file_path"), "source_row": F.col("_metadata.row_index")}
+    )
 
 
 def preview(df: DataFrame, rows: int = 10) -> DataFrame:

@@ -10,17 +10,12 @@ from pyspark.sql.types import StructType
 from tripmill.config import Settings
 from tripmill.plans import load
 from tripmill.sources import store
-from tripmill.sources.trips import conform
+from tripmill.sources.trips import conform, with_origin
 
 
 def watch_trips(spark: SparkSession, folder: str, file_schema: StructType) -> DataFrame:
     """Stream of raw trips from the Parquet files of a folder, with their origin."""
-    files = spark.readStream.schema(file_schema).parquet(folder)
-    return conform(
-        files.withColumns(
-            {"source_file": F.col("_metadata.file_name"), "source_row": F.col("_metadata.row_index")}
-        )
-    )
+    return conform(with_origin(spark.readStream.schema(file_schema).parquet(folder)))
 
 
 def _next_file_no(spark: SparkSession, path: str, batch: int) -> int:
