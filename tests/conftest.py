@@ -57,6 +57,8 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "6g",
+            "spark.sql.maxMetadataStringLength": "5000",
+            "spark.sql.debug.maxToStringFields": "200",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
