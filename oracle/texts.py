@@ -68,6 +68,8 @@ def _load() -> dict[str, str]:
         "load_audit": f"""SELECT source_file, original_trips, loaded_trips, 'loaded' AS status,
             original_trips - loaded_trips AS filtered_trips,
             {share("(original_trips - loaded_trips)", "original_trips")} AS filtered_pct FROM ({audit})""",
+        "incremental_load": f"""SELECT SUBSTR(source_file, 7, 4) AS source_period, original_trips, loaded_trips,
+            original_trips - loaded_trips AS filtered_trips FROM ({audit})""",
         "load_totals": f"""SELECT {big("SUM(loaded_trips)")} AS loaded_trips,
             {big("SUM(original_trips - loaded_trips)")} AS filtered_trips,
             {share("SUM(original_trips - loaded_trips)", "SUM(original_trips)")} AS filter_rate_pct FROM ({audit})""",

@@ -31,10 +31,10 @@ def _rollup(build: Callable[[DataFrame], DataFrame]) -> Report:
 
 
 ROLLUP_REPORTS: dict[str, Report] = {
-    "mv_zone_pickup": _rollup(rollups.zone_pickup),
-    "mv_zone_dropoff": _rollup(rollups.zone_dropoff),
+    "mv_zone_pickup": lambda t: rollups.zone_pickup(t.route_fares),
+    "mv_zone_dropoff": lambda t: rollups.zone_dropoff(t.route_fares),
     "mv_hourly_demand": _rollup(rollups.hourly_demand),
-    "mv_od_flows": lambda t: rollups.od_flows(t.fact_trip, t.settings.min_od_trips),
+    "mv_od_flows": lambda t: rollups.od_flows(t.route_fares, t.settings.min_od_trips),
     "mv_vendor_performance": _rollup(rollups.vendor_performance),
     "mv_payment_patterns": _rollup(rollups.payment_patterns),
     "summary_statistics": _rollup(rollups.summary_statistics),

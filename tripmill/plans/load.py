@@ -45,22 +45,26 @@ def load_trips(
     everything = batch == BULK
     store.write_audit(audit.join(numbers, "source_file", "left"), path, batch, everything)
 
-    files = (
-        store.read_table(spark, path, "load_audit")
-        .filter((F.col("load_batch") == batch) & F.col("file_no").isNotNull())
-        .select("source_file", "file_no")
-    )
+    stored = store.read_table(spark, path, "load_audit").filter(F.col("load_batch") == batch)
+    files = stored.filter(F.col("file_no").isNotNull()).select("source_file", "file_no")
     trips = clean.clean_trips(raw, ids)
     if "trip_id" in raw.columns:
         trips = trips.join(files, "source_file", "left_semi")
     else:
         trips = clean.accepted(trips, files)
-    store.write_fact(clean.build_fact(trips), path, batch, everything)
+    store.write_fact(clean.build_fact(trips), path, batch, everything, _is_thinned(stored))
+
+
+def _is_thinned(audit: DataFrame) -> bool:
+    """Less than half of the trips found are kept."""
+    totals = clean.audit_totals(audit).first()
+    return totals["loaded_trips"] < totals["filtered_trips"]
 
 
 def refresh_rollups(spark: SparkSession, path: str, settings: Settings | None = None) -> None:
     """Rebuild the rollups and the summary from the stored fact table."""
     fact = store.read_table(spark, path, "fact_trip")
     tables = TripTables(spark, store.read_table(spark, path, "dim_location"), fact=fact, settings=settings)
+    tables.route_fares = store.stage(tables.route_fares, path, "route_fares")
     for name in [*ROLLUPS, "summary_statistics"]:
         store.write_table(getattr(tables, name), path, name)

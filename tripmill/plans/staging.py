@@ -11,10 +11,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmill import schema
 from tripmill.config import Settings
 from tripmill.operators import clean
-from tripmill.plans.tables import StagedTables, TripTables
-from tripmill.sources import commerce
+from tripmill.plans.tables import SavedTables, StagedTables, TripTables
+from tripmill.sources import commerce, sizing, store
+from tripmill.streaming.incremental import load_new_files
 
 _lock = threading.RLock()
 _known: dict[tuple, TripTables] = {}
@@ -37,12 +39,14 @@ def shared_folder(spark: SparkSession) -> str | None:
     return None
 
 
-def _fingerprint(spark: SparkSession, folder: str) -> int:
-    """A number that changes when an input file does; only the file listing is read."""
-    paths = [f"{folder}/{name}.parquet" for name in commerce.CommerceTables.NAMES]
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+def _survey(spark: SparkSession, folder: str) -> tuple[int, int]:
+    """A number that changes when an input file does, and the size of the input.
+
+    Only the file listing is read.
+    """
+    files = sizing.list_files(spark, *[f"{folder}/{name}.parquet" for name in commerce.CommerceTables.NAMES])
     mark = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
-    return int(files.agg(F.sum(mark)).first()[0])
+    return tuple(int(x) for x in files.agg(F.sum(mark), F.sum("length")).first())
 
 
 def commerce_plans(
@@ -65,8 +69,10 @@ def commerce_tables(spark: SparkSession, folder: str, settings: Settings) -> Tri
     working on the order tables themselves.
     """
     with _lock:
-        key = (spark.sparkContext.applicationId, folder, settings, _fingerprint(spark, folder))
+        mark, size = _survey(spark, folder)
+        key = (spark.sparkContext.applicationId, folder, settings, mark)
         if key not in _known:
+            sizing.fit_shuffles(spark, size)
             locations, raw, fact = commerce_plans(spark, folder, settings)
             shared = shared_folder(spark)
             if shared is None:
@@ -75,3 +81,43 @@ def commerce_tables(spark: SparkSession, folder: str, settings: Settings) -> Tri
                 target = f"{shared}/trip-tables-{uuid.uuid4().hex}"
                 _known[key] = StagedTables(spark, target, locations, raw, fact, settings)
         return _known[key]
+
+
+def write_trip_files(raw: DataFrame, folder: str) -> None:
+    """Raw trips as files, one folder per year, added to what is there."""
+    (
+        raw.withColumn("trip_year", F.regexp_extract("source_file", r"\d{4}", 0))
+        .drop("trip_id", "source_file")
+        .hint("rebalance", F.col("trip_year"))
+        .write.mode("append")
+        .partitionBy("trip_year")
+        .parquet(folder)
+    )
+
+
+def incremental_load(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
+    """Trip files arriving in two lots, each picked up by the incremental load.
+
+    Gives the stored audit, added up per year.
+    """
+    shared = shared_folder(spark)
+    if shared is None:
+        raise ValueError("an incremental load keeps its state in spark.checkpoint.dir, which is not set")
+    work = f"{shared}/trip-stream-{uuid.uuid4().hex}"
+    source = commerce.CommerceTables.read(spark, folder)
+    locations = store.stage(commerce.locations(source), work, "locations")
+    trips = commerce.raw_trips(source)
+    early = F.col("source_file") < "trips-1998"
+    for lot in (trips.filter(early), trips.filter(~early)):
+        write_trip_files(lot, f"{work}/raw")
+        query = load_new_files(
+            spark, f"{work}/raw", schema.RAW_TRIPS, locations, f"{work}/tables", f"{work}/checkpoint", settings
+        )
+        query.awaitTermination()
+    audit = SavedTables(spark, f"{work}/tables", settings=settings).load_audit
+    year = F.regexp_extract("source_file", r"trip_year=(\d{4})", 1)
+    return (
+        audit.groupBy(year.alias("source_period"))
+        .agg(*[F.sum(c).alias(c) for c in ("original_trips", "loaded_trips", "filtered_trips")])
+        .orderBy("source_period")
+    )

@@ -86,13 +86,17 @@ class TripTables:
     def dim_rate_code(self) -> DataFrame:
         return dimensions.rate_codes(self.spark)
 
+    @cached_property
+    def route_fares(self) -> DataFrame:
+        return self._provide("route_fares", lambda: rollups.route_fares(self.fact_trip))
+
     @cached_property
     def mv_zone_pickup(self) -> DataFrame:
-        return self._provide("mv_zone_pickup", lambda: rollups.zone_pickup(self.fact_trip))
+        return self._provide("mv_zone_pickup", lambda: rollups.zone_pickup(self.route_fares))
 
     @cached_property
     def mv_zone_dropoff(self) -> DataFrame:
-        return self._provide("mv_zone_dropoff", lambda: rollups.zone_dropoff(self.fact_trip))
+        return self._provide("mv_zone_dropoff", lambda: rollups.zone_dropoff(self.route_fares))
 
     @cached_property
     def mv_hourly_demand(self) -> DataFrame:
@@ -101,7 +105,7 @@ class TripTables:
     @cached_property
     def mv_od_flows(self) -> DataFrame:
         return self._provide(
-            "mv_od_flows", lambda: rollups.od_flows(self.fact_trip, self.settings.min_od_trips)
+            "mv_od_flows", lambda: rollups.od_flows(self.route_fares, self.settings.min_od_trips)
         )
 
     @cached_property

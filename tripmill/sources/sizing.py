@@ -1,0 +1,33 @@
+"""Shuffle partitions in proportion to the input."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Input behind one shuffle partition, before AQE merges small ones.
+_BYTES_EACH = 1 << 30
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def list_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """Path, length and modification time of the files; their content is not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    return files.select("path", "length", "modificationTime")
+
+
+def fit_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Let shuffles of a large input start from enough partitions.
+
+    AQE can merge partitions but not add any, so the usual 200 would make them far too
+    large. The number is only ever raised; small inputs keep what the session has.
+    """
+    current = int(spark.conf.get(_INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = -(-input_bytes // _BYTES_EACH)
+    if wanted > current:
+        spark.conf.set(_INITIAL, str(wanted))
+    return max(wanted, current)
+
+
+def total_bytes(files: DataFrame) -> int:
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]

@@ -25,14 +25,18 @@ def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
-def write_fact(df: DataFrame, path: str, batch: int, replace_all: bool) -> None:
+def write_fact(df: DataFrame, path: str, batch: int, replace_all: bool, thinned: bool) -> None:
     """Write one load of the fact table.
 
-    The rebalance gives each period files of the advisory size: AQE splits a period that
-    holds most of the rows over many tasks and merges small ones. With ``replace_all`` the
-    whole table is replaced, otherwise only the partitions of this batch.
+    A task reads part of one source file and so writes into one period: as it is, nothing
+    need be shuffled. Only when the filters left little of each part (``thinned``) are the
+    rows rebalanced, to avoid many small files. AQE then merges small periods and splits one
+    that holds most of the rows. With ``replace_all`` the whole table is replaced, otherwise
+    only the partitions of this batch.
     """
-    rows = df.withColumn("load_batch", F.lit(batch)).hint("rebalance", F.col("source_period"))
+    rows = df.withColumn("load_batch", F.lit(batch))
+    if thinned:
+        rows = rows.hint("rebalance", F.col("source_period"))
     _write_partitioned(rows, f"{path}/fact_trip", FACT_PARTITIONS, replace_all)
 
 
