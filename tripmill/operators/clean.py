@@ -108,17 +108,29 @@ def audit_totals(audit: DataFrame) -> DataFrame:
 
 
 def number_files(audit: DataFrame, first: int = 0) -> DataFrame:
-    """Number the loaded files in name order; the audit has one small row per file."""
+    """Number the loaded files in name order and read the period off their names.
+
+    The audit has one small row per file, so this costs nothing per trip.
+    """
     order = Window.orderBy("source_file")
+    name = F.substring_index("source_file", "/", -1)
+    found = [F.nullif(F.regexp_extract(text, _PERIOD, 1), F.lit("")) for text in (name, "source_file")]
     return audit.filter(F.col("status") == "loaded").select(
-        "source_file", (F.row_number().over(order) + F.lit(first - 1)).cast("bigint").alias("file_no")
+        "source_file",
+        (F.row_number().over(order) + F.lit(first - 1)).cast("bigint").alias("file_no"),
+        F.coalesce(*found, F.lit("unknown")).alias("source_period"),
     )
 
 
 def accepted(raw: DataFrame, files: DataFrame) -> DataFrame:
-    """Rows of the numbered files with their trip id; rows of rejected files drop out."""
-    trip_id = F.shiftleft("file_no", _ROW_BITS) + F.col("source_row")
-    return raw.join(files, "source_file").withColumn("trip_id", trip_id).drop("file_no", "source_row")
+    """Rows of the numbered files with their period; rows of rejected files drop out.
+
+    Trips without an id of their own get the number of their file and their row in it.
+    """
+    trips = raw.join(files.select("source_file", "file_no", "source_period"), "source_file")
+    if "trip_id" not in raw.columns:
+        trips = trips.withColumn("trip_id", F.shiftleft("file_no", _ROW_BITS) + F.col("source_row"))
+    return trips
 
 
 def elapsed_seconds() -> Column:
@@ -129,18 +141,15 @@ def elapsed_seconds() -> Column:
 
 
 def build_fact(trips: DataFrame) -> DataFrame:
-    """Project clean trips, with a ``trip_id``, onto the fact columns.
+    """Project clean trips, with ``trip_id`` and ``source_period``, onto the fact columns.
 
-    ``source_period`` (year or year-month, from the file's name or else its folder) is
-    carried along as the partition column of the stored table.
+    The period (year or year-month, from the file's name or else its folder) is carried
+    along as the partition column of the stored table.
     """
     pickup = F.col("tpep_pickup_datetime")
     weekday = F.dayofweek(pickup) - 1  # Sunday is 0
     fare, miles, tip = F.col("fare_amount"), F.col("trip_distance"), F.col("tip_amount")
     hours = F.col("trip_duration_seconds") / F.lit(3600.0)
-    name = F.substring_index("source_file", "/", -1)
-    found = [F.nullif(F.regexp_extract(text, _PERIOD, 1), F.lit("")) for text in (name, "source_file")]
-    period = F.coalesce(*found, F.lit("unknown"))
     plain = trips.select(
         "trip_id",
         F.col("VendorID").alias("vendor_id"),
@@ -169,7 +178,7 @@ def build_fact(trips: DataFrame) -> DataFrame:
         F.lit(0.0).alias("cbd_congestion_fee"),
         "store_and_fwd_flag",
         "source_file",
-        period.alias("source_period"),
+        "source_period",
     )
     moving = (miles > 0) & (F.col("trip_duration_seconds") > 0)
     derived = plain.withColumns(

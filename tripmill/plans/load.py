@@ -46,12 +46,8 @@ def load_trips(
     store.write_audit(audit.join(numbers, "source_file", "left"), path, batch, everything)
 
     stored = store.read_table(spark, path, "load_audit").filter(F.col("load_batch") == batch)
-    files = stored.filter(F.col("file_no").isNotNull()).select("source_file", "file_no")
-    trips = clean.clean_trips(raw, ids)
-    if "trip_id" in raw.columns:
-        trips = trips.join(files, "source_file", "left_semi")
-    else:
-        trips = clean.accepted(trips, files)
+    files = stored.filter(F.col("file_no").isNotNull())
+    trips = clean.accepted(clean.clean_trips(raw, ids), files)
     store.write_fact(clean.build_fact(trips), path, batch, everything, _is_thinned(stored))
 
 

@@ -56,7 +56,8 @@ def commerce_plans(
     source = commerce.CommerceTables.read(spark, folder)
     locations = commerce.locations(source)
     scoped = commerce.raw_trips(source, clean.home_ids(locations, settings.home))
-    fact = clean.build_fact(scoped.filter(clean.is_plausible()))
+    trips = scoped.filter(clean.is_plausible()).withColumn("source_period", commerce.year_of_file())
+    fact = clean.build_fact(trips)
     return locations, commerce.raw_trips(source), fact
 
 
@@ -86,7 +87,7 @@ def commerce_tables(spark: SparkSession, folder: str, settings: Settings) -> Tri
 def write_trip_files(raw: DataFrame, folder: str) -> None:
     """Raw trips as files, one folder per year, added to what is there."""
     (
-        raw.withColumn("trip_year", F.regexp_extract("source_file", r"\d{4}", 0))
+        raw.withColumn("trip_year", commerce.year_of_file())
         .drop("trip_id", "source_file")
         .hint("rebalance", F.col("trip_year"))
         .write.mode("append")

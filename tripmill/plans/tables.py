@@ -156,4 +156,4 @@ class StagedTables(TripTables):
         super().__init__(spark, store.stage(locations, folder, "dim_location"), raw, fact, settings)
 
     def _provide(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        return store.stage(build(), self.folder, name)
+        return store.stage(build(), self.folder, name, spread=name == "fact_trip")

@@ -41,6 +41,11 @@ def locations(t: CommerceTables) -> DataFrame:
     )
 
 
+def year_of_file() -> Column:
+    """The year in ``trips-1998.parquet``."""
+    return F.substring("source_file", 7, 4)
+
+
 def _seconds(count: Column) -> Column:
     return F.make_dt_interval(secs=count.cast("decimal(18,6)"))
 

@@ -19,9 +19,13 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{name}")
 
 
-def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """Write a derived table and go on from the written copy, which cuts the lineage."""
-    write_table(df, folder, name)
+def stage(df: DataFrame, folder: str, name: str, spread: bool = False) -> DataFrame:
+    """Write a derived table and go on from the written copy, which cuts the lineage.
+
+    ``spread`` evens out the rows first, for tables that come out of a join on a key that
+    may be hot: otherwise one task would write most of the table.
+    """
+    write_table(df.hint("rebalance") if spread else df, folder, name)
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
