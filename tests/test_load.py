@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 import pytest
 from conftest import PLAIN, dicts
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tripmill import SavedTables, Settings
 from tripmill import schema as layouts
+from tripmill.__main__ import main
 from tripmill.operators import clean, quality
 from tripmill.plans import load
 from tripmill.plans.tables import ROLLUPS
@@ -142,3 +144,22 @@ def test_repeated_batch_replaces_itself(spark, locations, tmp_path, month_file):
 
 def test_rollup_names_cover_the_saved_tables():
     assert len(ROLLUPS) == 6
+
+
+def test_command_line(spark, tmp_path, month_file, capsys):
+    month_file(1, {}, {}, {"fare_amount": 0.0})
+    zones = tmp_path / "zones.csv"
+    zones.write_text('"LocationID","Borough","Zone","service_zone"\n1,"Home","A","Yellow"\n2,"Home","B","N/A"\n')
+    files, tables = f"{month_file.folder}/*.parquet", str(tmp_path / "tables")
+    common = ["--home", "Home"]
+    main([*common, "load", "--trips", files, "--zones", str(zones), "--tables", tables])
+    assert "fact_trip" in capsys.readouterr().out
+    main([*common, "report", "zone_top_pickup", "--tables", tables, "--limit", "5", "--json"])
+    assert json.loads(capsys.readouterr().out.strip())["pickup_count"] == 2
+    main([*common, "profile", "profile_raw_quality", "--trips", files, "--zones", str(zones), "--json"])
+    assert json.loads(capsys.readouterr().out.strip())["invalid_fares"] == 1
+    new = str(tmp_path / "new")
+    arguments = ["--zones", str(zones), "--tables", new, "--checkpoint", str(tmp_path / "seen")]
+    main([*common, "new", "--folder", month_file.folder, *arguments])
+    main([*common, "report", "load_table_counts", "--tables", new, "--json"])
+    assert '{"table_name":"fact_trip","row_count":2}' in capsys.readouterr().out

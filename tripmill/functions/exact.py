@@ -76,8 +76,11 @@ def minutes(seconds: Column) -> Column:
 def round_half_up(value: Column, places: int) -> Column:
     """Scale, round halves away from zero, scale back.
 
-    ``F.round(x, 2)`` decides ties on the printed decimal; this decides them on the
-    scaled double, as SQL engines written in C do.
+    ``F.round(x, 2)`` decides ties on the printed decimal, one BigDecimal per row; this
+    decides them on the scaled double, as SQL engines written in C do, in plain arithmetic.
     """
-    factor = float(10**places)
-    return F.round(value * F.lit(factor), 0) / F.lit(factor)
+    factor = F.lit(float(10**places))
+    size = F.abs(value * factor)
+    whole = F.floor(size)
+    rounded = whole + F.when(size - whole >= 0.5, F.lit(1)).otherwise(F.lit(0))
+    return F.signum(value) * rounded / factor

@@ -99,22 +99,20 @@ def no_tip_expensive(t: TripTables, limit: int = 100) -> DataFrame:
     return top(rows, check_limit(limit), F.col("fare_amount").desc())
 
 
-def quantiles_of(trips: DataFrame, columns: list[str], shares: list[float]) -> dict[str, list[Column]]:
-    """Exact quantiles of whole columns, as values usable inside a filter.
+def quantiles_of(trips: DataFrame, columns: list[str], shares: list[float]) -> Column:
+    """Exact quantiles of whole columns: a struct with an array of them per column.
 
     All columns are counted in one pass. As a scalar subquery the result needs no join and
-    is computed once.
+    is computed once. Where several values of it are used, attach it as a column first:
+    every mention of the expression itself would be planned anew.
     """
-    pairs = [x for c in columns for x in (F.lit(c), F.col(c).cast("double"))]
+    pairs = [x for i, c in enumerate(columns) for x in (F.lit(i), F.col(c).cast("double"))]
     long = trips.select(F.stack(F.lit(len(columns)), *pairs).alias("measure", "value"))
     counts = long.groupBy("measure", "value").agg(F.count("*").alias("n"))
     names = [f"q{i}" for i in range(len(shares))]
     found = grouped_quantiles(counts, ["measure"], "value", "n", dict(zip(names, shares)))
-    fields = [
-        F.max(F.when(F.col("measure") == c, F.col(q))).alias(f"{c}_{q}") for c in columns for q in names
-    ]
-    result = found.agg(F.struct(*fields).alias("result")).scalar()
-    return {c: [result[f"{c}_{q}"] for q in names] for c in columns}
+    fields = [F.max(F.when(F.col("measure") == i, F.array(*names))).alias(c) for i, c in enumerate(columns)]
+    return found.agg(F.struct(*fields).alias("result")).scalar()
 
 
 def _far(t: TripTables) -> Column:
@@ -192,10 +190,9 @@ def outlier_percentiles(t: TripTables, limit: int = 200) -> DataFrame:
     ends = quantiles_of(trips, [column for column, _, _ in labels.values()], [0.01, 0.99])
     marks = {}
     for name, (column, low, high) in labels.items():
-        first, last = ends[column]
-        value = F.col(column)
+        value, (first, last) = F.col(column), (F.col("ends")[column][i] for i in (0, 1))
         marks[f"{name}_outlier"] = F.when(value < first, low).when(value > last, high)
-    marked = trips.withColumns(marks).filter(F.coalesce(*marks).isNotNull())
+    marked = trips.withColumn("ends", ends).withColumns(marks).filter(F.coalesce(*marks).isNotNull())
     rows = marked.select("trip_id", "pickup_datetime", "fare_amount", "trip_distance", _duration(), *marks)
     return top(rows, check_limit(limit), F.col("pickup_datetime").desc())
 

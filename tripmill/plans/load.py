@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from tripmill.plans.tables import ROLLUPS, SavedTables, TripTables
 from tripmill.sources import dimensions, store
 
 BULK = 0
+_JOBS_AT_ONCE = 4
 
 
 def load(
@@ -25,10 +28,13 @@ def load(
 
 
 def write_dimensions(spark: SparkSession, locations: DataFrame, path: str) -> None:
-    store.write_table(locations, path, "dim_location")
-    store.write_table(dimensions.vendors(spark), path, "dim_vendor")
-    store.write_table(dimensions.payment_types(spark), path, "dim_payment_type")
-    store.write_table(dimensions.rate_codes(spark), path, "dim_rate_code")
+    tables = {
+        "dim_location": locations,
+        "dim_vendor": dimensions.vendors(spark),
+        "dim_payment_type": dimensions.payment_types(spark),
+        "dim_rate_code": dimensions.rate_codes(spark),
+    }
+    _write_together(tables, path)
 
 
 def load_trips(
@@ -62,5 +68,12 @@ def refresh_rollups(spark: SparkSession, path: str, settings: Settings | None =
     fact = store.read_table(spark, path, "fact_trip")
     tables = TripTables(spark, store.read_table(spark, path, "dim_location"), fact=fact, settings=settings)
     tables.route_fares = store.stage(tables.route_fares, path, "route_fares")
-    for name in [*ROLLUPS, "summary_statistics"]:
-        store.write_table(getattr(tables, name), path, name)
+    _write_together({name: getattr(tables, name) for name in [*ROLLUPS, "summary_statistics"]}, path)
+
+
+def _write_together(tables: dict[str, DataFrame], path: str) -> None:
+    """Write independent tables at the same time, so that one's last tasks overlap the next."""
+    with ThreadPoolExecutor(_JOBS_AT_ONCE) as pool:
+        written = [pool.submit(store.write_table, df, path, name) for name, df in tables.items()]
+        for job in written:
+            job.result()
