@@ -4,6 +4,9 @@ Adding doubles gives different last digits on every run of a distributed job. He
 value is first turned into a whole number of small units, so that the sum is integer
 arithmetic: associative, inside whole-stage codegen and as fast as adding doubles
 (a decimal sum of the same data is some fifteen times slower).
+
+Values are column names or SQL expressions over columns: one call to the JVM per measure
+instead of one per operation, which counts in reports with two dozen of them.
 """
 
 from __future__ import annotations
@@ -19,44 +22,40 @@ _HALF_BITS = 20
 _HALF = 1 << _HALF_BITS
 
 
-def _column(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
-
-
-def units(value: Column | str, step: float = AMOUNT_STEP) -> Column:
-    """The value as a whole number of ``1/step``, rounding halves to even."""
-    return F.rint(_column(value) * F.lit(step)).cast("bigint")
+def units(value: str, step: float = AMOUNT_STEP) -> str:
+    """SQL for the value as a whole number of ``1/step``, rounding halves to even."""
+    return f"CAST(rint(({value}) * {step}D) AS BIGINT)"
 
 
-def from_units(count: Column, step: float = AMOUNT_STEP) -> Column:
-    return count.cast("double") / F.lit(step)
+def total(value: str) -> Column:
+    """SUM of an amount."""
+    return F.expr(_total(value))
 
 
-def total(value: Column | str) -> Column:
-    """SUM of an amount."""
-    return from_units(F.sum(units(value)))
+def _total(value: str) -> str:
+    return f"CAST(sum({units(value)}) AS DOUBLE) / {AMOUNT_STEP}D"
 
 
-def mean(value: Column | str) -> Column:
+def mean(value: str) -> Column:
     """AVG of an amount; NULL for a group without values."""
-    return total(value) / F.count(_column(value))
+    return F.expr(f"{_total(value)} / count({value})")
 
 
-def int_mean(value: Column | str) -> Column:
+def int_mean(value: str) -> Column:
     """AVG of an integer column."""
-    return F.sum(_column(value).cast("bigint")).cast("double") / F.count(_column(value))
+    return F.expr(f"CAST(sum(CAST({value} AS BIGINT)) AS DOUBLE) / count({value})")
 
 
-def ratio_mean(value: Column | str) -> Column:
+def ratio_mean(value: str) -> Column:
     """AVG of a ratio or of a mean.
 
     The finer step could overflow one bigint at cluster scale, so the high and the low
     bits are summed apart and joined again, exactly, once per group.
     """
     fine = units(value, RATIO_STEP)
-    high = F.sum(F.shiftright(fine, _HALF_BITS)).cast("decimal(38,0)")
-    low = F.sum(fine.bitwiseAND(F.lit(_HALF - 1)))
-    return from_units(high * F.lit(_HALF) + low, RATIO_STEP) / F.count(_column(value))
+    high = f"CAST(sum(shiftright({fine}, {_HALF_BITS})) AS DECIMAL(38,0))"
+    low = f"sum({fine} & {_HALF - 1}L)"
+    return F.expr(f"CAST({high} * {_HALF} + {low} AS DOUBLE) / {RATIO_STEP}D / count({value})")
 
 
 def count_where(test: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.functions.exact import mean, minutes, ratio_mean
+from tripmill.functions.exact import mean, ratio_mean
 from tripmill.operators.airport import is_airport_trip
 from tripmill.operators.star import with_zone
 from tripmill.plans.tables import TripTables
@@ -69,7 +69,7 @@ def flows(t: TripTables, first: str, second: str) -> DataFrame:
             "total_trips": F.sum("trip_count"),
             "avg_fare": ratio_mean("avg_fare"),
             "avg_distance": ratio_mean("avg_distance"),
-            "avg_duration_min": ratio_mean(minutes(F.col("avg_duration_sec"))),
-            "fare_per_mile": ratio_mean(F.try_divide("avg_fare", "avg_distance")),
+            "avg_duration_min": ratio_mean("avg_duration_sec / 60.0D"),
+            "fare_per_mile": ratio_mean("try_divide(avg_fare, avg_distance)"),
         },
     )

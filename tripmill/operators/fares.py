@@ -18,7 +18,7 @@ TIP_RANGES = Bands("0% (No Tip)", "1-9%", "10-14%", "15-19%", "20-24%", "25-29%"
 
 
 def _share_of_total(name: str) -> Column:
-    return ratio_mean(F.try_divide(F.col(name), F.col("total_amount")) * F.lit(100.0))
+    return ratio_mean(f"try_divide({name}, total_amount) * 100.0D")
 
 
 # Charge columns and what their average is called in the reports.
@@ -75,7 +75,7 @@ def surcharge_frequency(t: TripTables) -> DataFrame:
             for name in ("congestion", "airport_fee", "cbd_fee", "tolls")
         ],
         *[
-            mean(F.when(applied[name], F.col(counted[name]))).alias(f"avg_{name}_when_applied")
+            mean(f"CASE WHEN {counted[name]} > 0 THEN {counted[name]} END").alias(f"avg_{name}_when_applied")
             for name in ("congestion", "airport_fee", "tolls")
         ],
     )

@@ -103,7 +103,7 @@ def distance_categories(t: TripTables) -> DataFrame:
             F.count("*").alias("route_count"),
             F.sum("trip_count").alias("total_trips"),
             ratio_mean("avg_fare").alias("avg_fare"),
-            ratio_mean(minutes(F.col("avg_duration_sec"))).alias("avg_duration_min"),
+            ratio_mean("avg_duration_sec / 60.0D").alias("avg_duration_min"),
         )
     )
     return grouped.orderBy("band").select(

@@ -20,13 +20,17 @@ _PER_OCTAVE = 256
 _ZERO_GAP = 1 << 20
 
 
-def _holds(rank: Column, start: Column, rows: Column) -> Column:
-    return (rank >= start) & (rank < start + rows)
+def _holds(rank: str, start: str, rows: str) -> str:
+    return f"({rank} >= {start} AND {rank} < {start} + {rows})"
 
 
-def _place(share: float) -> Column:
+def _place(share: float) -> str:
     """Rank of a quantile, counted from 0 and usually between two rows."""
-    return F.col("_last").cast("double") * F.lit(share)
+    return f"(CAST(_last AS DOUBLE) * {share!r}D)"
+
+
+def _ends(share: float) -> tuple[str, str]:
+    return f"floor({_place(share)})", f"ceil({_place(share)})"
 
 
 def with_ranks(counts: DataFrame, keys: Sequence[str], value: str, count: str) -> DataFrame:
@@ -45,26 +49,20 @@ def with_ranks(counts: DataFrame, keys: Sequence[str], value: str, count: str) -
     )
 
 
-def quantile(share: float, value: Column, count: str) -> Column:
+def quantile(share: float, value: str, count: str) -> Column:
     """Aggregate of rows from ``with_ranks``: the two rows around the place, interpolated."""
-    place = _place(share)
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when(_holds(rank, F.col("_start"), F.col(count)), value))
-
-    low, high = at(F.floor(place)), at(F.ceil(place))
-    return low + (high - low) * F.max(place - F.floor(place))
+    low, high = (f"max(CASE WHEN {_holds(end, '_start', count)} THEN {value} END)" for end in _ends(share))
+    return F.expr(f"{low} + ({high} - {low}) * max({_place(share)} - floor({_place(share)}))")
 
 
-def _interval(value: Column) -> Column:
+def _interval(value: str) -> Column:
     """Number of the interval a value lies in; grows with the value.
 
     Never NULL, and known to Catalyst not to be: otherwise it would add a test for that to
     one of the two uses of the counts, and the shuffle behind them could not be shared.
     """
-    size = F.floor(F.log2(F.abs(value)) * F.lit(_PER_OCTAVE)) + F.lit(_ZERO_GAP)
-    number = F.when(value > 0, size).when(value < 0, -size)
-    return F.coalesce(number, F.lit(0))
+    size = f"floor(log2(abs({value})) * {_PER_OCTAVE}) + {_ZERO_GAP}"
+    return F.expr(f"coalesce(CASE WHEN {value} > 0 THEN {size} WHEN {value} < 0 THEN -({size}) END, 0)")
 
 
 def grouped_quantiles(
@@ -79,13 +77,13 @@ def grouped_quantiles(
     """
     keys = list(keys)
     known = counts.filter(F.col(value).isNotNull()).select(
-        *keys, F.col(value).alias("_v"), F.col(count).alias("_n"), _interval(F.col(value)).alias("_i")
+        *keys, F.col(value).alias("_v"), F.col(count).alias("_n"), _interval(value).alias("_i")
     )
     # One row per group and interval: a few thousand per group at most.
     intervals = known.groupBy(*keys, "_i").agg(F.sum("_n").alias("_rows"))
     intervals = with_ranks(intervals, keys, "_i", "_rows")
-    ends = [end(_place(share)) for share in shares.values() for end in (F.floor, F.ceil)]
-    holds_any = reduce(Column.__or__, [_holds(rank, F.col("_start"), F.col("_rows")) for rank in ends])
+    ranks = [end for share in shares.values() for end in _ends(share)]
+    holds_any = " OR ".join(_holds(rank, "_start", "_rows") for rank in ranks)
     wanted = intervals.filter(holds_any).select(
         *[F.col(k).alias(f"_{k}") for k in keys], F.col("_i").alias("_wanted"), F.col("_start").alias("_first"), "_last"
     )
@@ -94,5 +92,5 @@ def grouped_quantiles(
     before = Window.partitionBy(*keys, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     ranked = inside.withColumn("_start", F.col("_first") + F.coalesce(F.sum("_n").over(before), F.lit(0)))
     return ranked.groupBy(*keys).agg(
-        *[quantile(share, F.col("_v"), "_n").alias(name) for name, share in shares.items()]
+        *[quantile(share, "_v", "_n").alias(name) for name, share in shares.items()]
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.functions.exact import count_where, from_units, int_mean, mean, ratio_mean, total, units
+from tripmill.functions.exact import AMOUNT_STEP, count_where, int_mean, mean, ratio_mean, total, units
 from tripmill.operators.quantiles import quantile, with_ranks
 
 
@@ -27,25 +27,24 @@ def route_fares(fact: DataFrame) -> DataFrame:
     """
     return (
         fact.filter(metered())
-        .groupBy("pu_location_id", "do_location_id", units("fare_amount").alias("fare"))
+        .groupBy("pu_location_id", "do_location_id", F.expr(units("fare_amount")).alias("fare"))
         .agg(
             F.count("*").alias("n"),
-            F.sum(units("trip_distance")).alias("miles"),
+            F.sum(F.expr(units("trip_distance"))).alias("miles"),
             F.sum("trip_duration_seconds").alias("seconds"),
         )
     )
 
 
 def _fare_quantile(share: float) -> Column:
-    return quantile(share, from_units(F.col("fare")), "n")
+    return quantile(share, f"fare / {AMOUNT_STEP}D", "n")
 
 
 def _counted_means() -> dict[str, Column]:
-    n = F.sum("n")
     return {
-        "fare": from_units(F.sum(F.col("fare") * F.col("n"))) / n,
-        "distance": from_units(F.sum("miles")) / n,
-        "seconds": F.sum("seconds").cast("double") / n,
+        "fare": F.expr(f"CAST(sum(fare * n) AS DOUBLE) / {AMOUNT_STEP}D / sum(n)"),
+        "distance": F.expr(f"CAST(sum(miles) AS DOUBLE) / {AMOUNT_STEP}D / sum(n)"),
+        "seconds": F.expr("CAST(sum(seconds) AS DOUBLE) / sum(n)"),
     }
 
 
@@ -136,7 +135,7 @@ def payment_patterns(fact: DataFrame) -> DataFrame:
             F.count("*").alias("trip_count"),
             mean("tip_amount").alias("avg_tip"),
             mean("fare_amount").alias("avg_fare"),
-            ratio_mean(F.try_divide("tip_amount", "fare_amount") * F.lit(100.0)).alias("avg_tip_pct"),
+            ratio_mean("try_divide(tip_amount, fare_amount) * 100.0D").alias("avg_tip_pct"),
             tipped.alias("trips_with_tip"),
             (F.count("*") - tipped).alias("trips_no_tip"),
         )
