@@ -6,7 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmill.llm import common, token_files
+from tripmill.llm import common, token_files, warc
+
+# Base 32 takes 5 bits a letter: 5 hex digits give 4 letters.
+OP8_SQL = """
+WITH hashed AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+),
+named AS (
+    SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr(
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + ((('0x' || substr(hex, (1 + 5 * (i // 4))::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31), 1)), '')
+        AS payload_digest
+    FROM hashed
+),
+firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM named
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM firsts
+"""
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 
@@ -21,9 +42,18 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, folder)
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = common.new_folder(spark, "warc")
+    index = warc.write_archives(common.read_table(spark, sf_dir, "pages"), folder)
+    return warc.read_records(index, folder).drop("url", "payload")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_token_files": op4_token_files}
+    return {
+        "op4_token_files": op4_token_files,
+        "op8_warc": op8_warc,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_warc": OP8_SQL}
