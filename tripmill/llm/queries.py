@@ -5,8 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripmill.llm import common, token_files, warc
+from tripmill.llm import common, mixing, sharding, token_files, warc
+
+SHARD_BYTES = 64 << 20
+
+# A row's bucket is its shortest prefix of the hash that fits, as only buckets that do not are split.
+OP1_SQL = f"""
+WITH hashed AS (
+    SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes,
+        lpad(bin(('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT), 60, '0') AS bits
+    FROM documents
+),
+prefixes AS (SELECT *, unnest(range(0, 61))::INT AS depth FROM hashed),
+buckets AS (
+    SELECT doc_id, n_bytes, depth, substr(bits, 1, depth) AS shard,
+        sum(n_bytes) OVER (PARTITION BY depth, substr(bits, 1, depth))::BIGINT AS shard_bytes,
+        count(*) OVER (PARTITION BY depth, substr(bits, 1, depth)) AS n_rows
+    FROM prefixes
+)
+SELECT doc_id, n_bytes, shard, depth, shard_bytes FROM buckets
+WHERE shard_bytes <= {SHARD_BYTES} OR n_rows = 1
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
+"""
 
 # Base 32 takes 5 bits a letter: 5 hex digits give 4 letters.
 OP8_SQL = """
@@ -29,9 +51,49 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM firsts
 """
 
+# Sources weigh as much as the square root of their size.
+MIX_TEMPERATURE, MIX_SEED = 0.5, "mix"
+
+OP7_SQL = f"""
+WITH sizes AS (
+    SELECT source, sum(coalesce(length(text), 0))::DOUBLE AS size FROM documents GROUP BY source
+),
+rates AS (
+    SELECT source, pow(size, {MIX_TEMPERATURE}) / sum(pow(size, {MIX_TEMPERATURE})) OVER ()
+        * sum(size) OVER () / size AS rate
+    FROM sizes WHERE size > 0
+),
+pieces AS (
+    SELECT source, unnest(range(1, ceil(rate / {mixing.PIECE})::BIGINT + 1)) AS piece,
+        rate / ceil(rate / {mixing.PIECE}) AS mean
+    FROM rates
+),
+ladder AS (
+    SELECT source, piece, k, sum(exp(-mean + k * ln(mean) - lgamma(k + 1)))
+        OVER (PARTITION BY source, piece ORDER BY k) AS reached
+    FROM (SELECT *, unnest(range(0, ceil(mean + 12 * sqrt(mean) + 20)::BIGINT + 1)) AS k FROM pieces)
+),
+counted AS (
+    SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, count(*) AS copies
+    FROM documents d JOIN ladder USING (source)
+    WHERE reached <= ('0x' || substr(md5('{MIX_SEED}:' || piece || ':' || d.doc_id), 1, 13))::BIGINT / pow(16, 13)
+    GROUP BY ALL
+),
+copied AS (SELECT * EXCLUDE copies, unnest(range(1, copies + 1))::INT AS copy FROM counted)
+SELECT *, ('0x' || substr(md5('{MIX_SEED}:order:' || doc_id || ':' || copy), 1, 13))::BIGINT / pow(16, 13)
+    AS shuffle_key
+FROM copied
+"""
+
 WORD_TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = sharding.hashed(docs.select("doc_id", F.octet_length("text").alias("n_bytes")), size=F.col("n_bytes"))
+    return sharding.assign(rows, SHARD_BYTES).select("doc_id", F.col("bytes").alias("n_bytes"), "shard", "depth", "shard_bytes")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -42,6 +104,11 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, folder)
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents")
+    return mixing.mix(docs, temperature=MIX_TEMPERATURE, seed=MIX_SEED)
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = common.new_folder(spark, "warc")
     index = warc.write_archives(common.read_table(spark, sf_dir, "pages"), folder)
@@ -50,10 +117,16 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_sharding": op1_sharding,
         "op4_token_files": op4_token_files,
+        "op7_mixing": op7_mixing,
         "op8_warc": op8_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_warc": OP8_SQL}
+    return {
+        "op1_sharding": OP1_SQL,
+        "op7_mixing": OP7_SQL,
+        "op8_warc": OP8_SQL,
+    }
