@@ -50,24 +50,30 @@ def split(cells: DataFrame, group: list[str], limit: int, depth: int) -> tuple[D
     Returns the closed buckets (group columns, depth, prefix, shard_bytes) and, in the same form, those that are
     too large even with all ``depth`` bits.
     """
-    closed, too_large, open_cells = [], [], cells
-    for at in range(depth + 1):
+    closed, open_cells, at = [], cells, 0
+    while True:
         prefix = _bits(F.col("cell"), at).alias("prefix")
         sums = common.stage(
-            open_cells.groupBy(*group, prefix).agg(F.sum("bytes").alias("shard_bytes"), F.sum("n_rows").alias("n_rows")),
+            open_cells.groupBy(*group, prefix).agg(
+                F.sum("bytes").alias("shard_bytes"),
+                F.sum("n_rows").alias("n_rows"),
+                # Bits that all cells of the bucket share: splitting on one of these would change nothing.
+                (BITS - F.length(F.bin(F.min("cell").bitwiseXOR(F.max("cell"))))).alias("shared"),
+                F.lit(at).alias("depth"),
+            ),
             f"directory-{at}",
-        ).select(*group, F.lit(at).alias("depth"), "prefix", "shard_bytes", "n_rows")
+        )
         fits = (F.col("shard_bytes") <= limit) | (F.col("n_rows") == 1)
-        closed.append(sums.filter(fits).drop("n_rows"))
+        closed.append(sums.filter(fits).select(*group, "depth", "prefix", "shard_bytes"))
         oversized = sums.filter(~fits)
-        if at == depth:
-            too_large.append(oversized.drop("n_rows"))
-        if at == depth or oversized.isEmpty():
-            break
+        shared = oversized.agg(F.min("shared")).first()[0]
+        if shared is None or at == depth:
+            return reduce(DataFrame.unionByName, closed), oversized.select(*group, "depth", "prefix", "shard_bytes")
         same = [open_cells[g].eqNullSafe(oversized[g]) for g in group]
-        kept = open_cells.join(oversized, [*same, _bits(open_cells["cell"], at) == oversized["prefix"]], "left_semi")
-        open_cells = common.stage(kept, f"open-{at}") if at % 8 == 7 else kept
-    return reduce(DataFrame.unionByName, closed), too_large[0] if too_large else closed[0].limit(0)
+        open_cells = open_cells.join(oversized, [*same, _bits(open_cells["cell"], at) == oversized["prefix"]], "left_semi")
+        if len(closed) % 8 == 0:
+            open_cells = common.stage(open_cells, f"open-{at}")
+        at = min(depth, max(at, shared) + 1)
 
 
 def hashed(docs: DataFrame, key: tuple[str, ...] = ("doc_id",), size: Column | None = None) -> DataFrame:
@@ -151,13 +157,14 @@ def _level(rows: DataFrame, group: list[str], hashed_by: str, bits: int, limit:
 def _bucket_of(cells: DataFrame, closed: DataFrame, group: list[str]) -> DataFrame:
     """(group, cell, _depth, _bytes): the closed bucket of each cell, by an equality join for each depth in use."""
     depths = sorted(r[0] for r in closed.select("depth").distinct().collect())
-    parts = []
+    key = [cells[g] for g in group]
+    parts = [cells.limit(0).select(*key, "cell", F.lit(0).alias("_depth"), F.col("bytes").alias("_bytes"))]
     for d in depths:
         own = closed.filter(F.col("depth") == d).alias("own")
         same = [*(cells[g] == own[g] for g in group), _bits(cells["cell"], d) == own["prefix"]]
         parts.append(
             cells.join(own, same).select(
-                *[cells[g] for g in group], cells["cell"], own["depth"].alias("_depth"), own["shard_bytes"].alias("_bytes")
+                *key, cells["cell"], own["depth"].alias("_depth"), own["shard_bytes"].alias("_bytes")
             )
         )
     return reduce(DataFrame.unionByName, parts)
