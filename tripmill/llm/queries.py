@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import common, mixing, sharding, token_files, warc
+from tripmill.llm import common, mixing, packing, sharding, token_files, warc
 
 SHARD_BYTES = 64 << 20
 
@@ -51,6 +51,7 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM firsts
 """
 
+BIN_CHARS = 16_384
 # Sources weigh as much as the square root of their size.
 MIX_TEMPERATURE, MIX_SEED = 0.5, "mix"
 
@@ -104,6 +105,16 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, folder)
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents").select(
+        "doc_id", "source", packing.text_cluster().alias("cluster"), F.length("text").alias("length")
+    )
+    items = packing.number_rows(docs, "items")
+    # The row number, unlike doc_id, is unique; it is the key that pieces are joined back on.
+    placed = common.stage(packing.pack(items, BIN_CHARS), "placed")
+    return items.select("row_id", "doc_id", "source", "cluster").join(placed, "row_id").drop("row_id")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read_table(spark, sf_dir, "documents")
     return mixing.mix(docs, temperature=MIX_TEMPERATURE, seed=MIX_SEED)
@@ -119,6 +130,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op4_token_files": op4_token_files,
+        "op6_packing": op6_packing,
         "op7_mixing": op7_mixing,
         "op8_warc": op8_warc,
     }
