@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import common, mixing, packing, sharding, token_files, warc
+from tripmill.llm import common, mixing, packing, quality, sharding, token_files, warc
 
 SHARD_BYTES = 64 << 20
 
@@ -86,6 +86,68 @@ SELECT *, ('0x' || substr(md5('{MIX_SEED}:order:' || doc_id || ':' || copy), 1,
 FROM copied
 """
 
+_SPACE = r"[\x20\x09-\x0D]"
+OP10_SQL = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row_id, doc_id, source, coalesce(text, '') AS text FROM documents
+),
+words AS (
+    SELECT row_id, unnest(found) AS word, unnest(range(len(found))) AS pos
+    FROM (SELECT row_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS found FROM docs)
+),
+windows AS (
+    SELECT row_id, pos, word AS a, lead(word) OVER (w) AS b, lead(word, 2) OVER (w) AS c
+    FROM words WINDOW w AS (PARTITION BY row_id ORDER BY pos)
+),
+repeated AS (
+    SELECT row_id, pos FROM windows WHERE c IS NOT NULL QUALIFY count(*) OVER (PARTITION BY row_id, a, b, c) > 1
+),
+repeats AS (
+    SELECT row_id, count(DISTINCT place) AS n_repeat_words
+    FROM (SELECT row_id, unnest([pos, pos + 1, pos + 2]) AS place FROM repeated) GROUP BY row_id
+),
+base AS (
+    SELECT row_id, doc_id, source, text,
+        len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))::BIGINT AS n_words,
+        length(regexp_replace(text, '{_SPACE}', '', 'g'))::BIGINT AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols
+    FROM docs
+),
+raw_lines AS (
+    SELECT row_id, source, unnest(string_split(text, chr(10))) AS line FROM docs
+),
+own_lines AS (SELECT * FROM raw_lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dup AS (
+    SELECT row_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM own_lines GROUP BY row_id
+),
+lines AS (
+    SELECT row_id, source,
+        trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'),
+            '{_SPACE}+', ' ', 'g'), ' ') AS line
+    FROM own_lines
+),
+hosts AS (SELECT source, count(*) AS host_docs FROM docs GROUP BY source),
+frequent AS (
+    SELECT source, line FROM (SELECT source, line, count(DISTINCT row_id) AS n_docs FROM lines GROUP BY source, line)
+    JOIN hosts USING (source)
+    WHERE n_docs > {quality.MIN_DOCS} AND n_docs > {quality.MAX_SHARE} * host_docs
+),
+removed AS (
+    SELECT row_id, sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')))::BIGINT AS removed_words
+    FROM lines JOIN frequent USING (source, line) GROUP BY row_id
+),
+counted AS (
+    SELECT doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+        coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(removed_words, 0)::BIGINT AS removed_words
+    FROM base LEFT JOIN repeats USING (row_id) LEFT JOIN dup USING (row_id) LEFT JOIN removed USING (row_id)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+        AND n_words - removed_words >= {quality.MIN_WORDS}
+        AND n_words - removed_words >= {quality.MIN_LEFT} * n_words AS kept
+FROM counted
+"""
+
 WORD_TOKENIZER = "word_bpe_49k.json"
 
 
@@ -126,6 +188,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(index, folder).drop("url", "payload")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(common.read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -133,6 +199,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_packing": op6_packing,
         "op7_mixing": op7_mixing,
         "op8_warc": op8_warc,
+        "op10_quality": op10_quality,
     }
 
 
@@ -141,4 +208,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_sharding": OP1_SQL,
         "op7_mixing": OP7_SQL,
         "op8_warc": OP8_SQL,
+        "op10_quality": OP10_SQL,
     }
