@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import common, mixing, packing, quality, sharding, token_files, warc
+from tripmill.llm import common, mixing, packing, quality, secrets, sharding, token_files, warc
 
 SHARD_BYTES = 64 << 20
 
@@ -157,6 +157,18 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(rows, SHARD_BYTES).select("doc_id", F.col("bytes").alias("n_bytes"), "shard", "depth", "shard_bytes")
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(docs))
+    spans = F.col("found_spans")
+    base = F.filter(spans, lambda s: s["kind"] != "random")
+    kinds = F.transform(spans, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in secrets.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(spans).alias("spans")
+    )
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -195,6 +207,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op3_secrets": op3_secrets,
         "op4_token_files": op4_token_files,
         "op6_packing": op6_packing,
         "op7_mixing": op7_mixing,
