@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import common, mixing, packing, quality, secrets, sharding, token_files, warc
+from tripmill.llm import common, mixing, packing, quality, secrets, sharding, token_files, toxicity, warc
 
 SHARD_BYTES = 64 << 20
 
@@ -179,6 +179,18 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, folder)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, common.read_table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("toxic_score").alias("score"),
+        (F.col("toxic_score") >= toxicity.REJECT_AT).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"),
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read_table(spark, sf_dir, "documents").select(
         "doc_id", "source", packing.text_cluster().alias("cluster"), F.length("text").alias("length")
@@ -209,6 +221,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_sharding": op1_sharding,
         "op3_secrets": op3_secrets,
         "op4_token_files": op4_token_files,
+        "op5_toxicity": op5_toxicity,
         "op6_packing": op6_packing,
         "op7_mixing": op7_mixing,
         "op8_warc": op8_warc,
