@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import common, mixing, packing, quality, secrets, sharding, token_files, toxicity, warc
+from tripmill.llm import common, jaccard, mixing, packing, quality, secrets, sharding, token_files, toxicity, warc
 
 SHARD_BYTES = 64 << 20
 
@@ -157,6 +157,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(rows, SHARD_BYTES).select("doc_id", F.col("bytes").alias("n_bytes"), "shard", "depth", "shard_bytes")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.join(docs).select("doc_id", "class_id", "copies", "n_links")
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.scan(docs, secrets.train(docs))
@@ -219,6 +224,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op2_jaccard_join": op2_jaccard_join,
         "op3_secrets": op3_secrets,
         "op4_token_files": op4_token_files,
         "op5_toxicity": op5_toxicity,
