@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import common, jaccard, mixing, packing, quality, secrets, sharding, token_files, toxicity, warc
+from tripmill.llm import common, jaccard, mixing, packing, quality, secrets, sharding, token_files, top_k, toxicity, warc
 
 SHARD_BYTES = 64 << 20
 
@@ -86,6 +86,21 @@ SELECT *, ('0x' || substr(md5('{MIX_SEED}:order:' || doc_id || ':' || copy), 1,
 FROM copied
 """
 
+TOP_K = 5
+OP9_SQL = f"""
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= {TOP_K}
+"""
+
 _SPACE = r"[\x20\x09-\x0D]"
 OP10_SQL = rf"""
 WITH docs AS (
@@ -217,6 +232,11 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(index, folder).drop("url", "payload")
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = common.read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_k.search(vectors, F.col("vec_id") % 50 == 0, TOP_K)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(common.read_table(spark, sf_dir, "documents"))
 
@@ -231,6 +251,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_packing": op6_packing,
         "op7_mixing": op7_mixing,
         "op8_warc": op8_warc,
+        "op9_top_k": op9_top_k,
         "op10_quality": op10_quality,
     }
 
@@ -240,5 +261,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_sharding": OP1_SQL,
         "op7_mixing": OP7_SQL,
         "op8_warc": OP8_SQL,
+        "op9_top_k": OP9_SQL,
         "op10_quality": OP10_SQL,
     }
