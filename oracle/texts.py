@@ -28,6 +28,14 @@ def _load() -> dict[str, str]:
       AND {PLAUSIBLE}"""
     audit = f"""SELECT source_file, COUNT(*) AS original_trips, {big("SUM(CASE WHEN ok THEN 1 ELSE 0 END)")} AS loaded_trips
     FROM (SELECT source_file, COALESCE({valid}, FALSE) AS ok FROM raw_trips) GROUP BY 1"""
+    loaded = f"""SELECT * FROM (
+        SELECT SUBSTR(source_file, 7, 4) AS source_period, original_trips, loaded_trips,
+            original_trips - loaded_trips AS filtered_trips FROM ({audit})
+    ) LEFT JOIN (
+        SELECT source_period, COUNT(*) AS trips, COUNT(DISTINCT trip_id) AS trip_ids, {amount_sum("fare_amount")} AS fares,
+            {amount_sum("trip_distance")} AS miles, {big("SUM(trip_duration_seconds)")} AS seconds
+        FROM fact_trip GROUP BY 1
+    ) USING (source_period)"""
     parts = [
         "fact_trip",
         "dim_location",
@@ -68,8 +76,8 @@ def _load() -> dict[str, str]:
         "load_audit": f"""SELECT source_file, original_trips, loaded_trips, 'loaded' AS status,
             original_trips - loaded_trips AS filtered_trips,
             {share("(original_trips - loaded_trips)", "original_trips")} AS filtered_pct FROM ({audit})""",
-        "incremental_load": f"""SELECT SUBSTR(source_file, 7, 4) AS source_period, original_trips, loaded_trips,
-            original_trips - loaded_trips AS filtered_trips FROM ({audit})""",
+        "load_batch": loaded,
+        "incremental_load": loaded,
         "load_totals": f"""SELECT {big("SUM(loaded_trips)")} AS loaded_trips,
             {big("SUM(original_trips - loaded_trips)")} AS filtered_trips,
             {share("SUM(original_trips - loaded_trips)", "SUM(original_trips)")} AS filter_rate_pct FROM ({audit})""",
@@ -477,6 +485,8 @@ def _profiles(s: Settings) -> dict[str, str]:
             GROUP BY ALL ORDER BY trip_count DESC, {columns} LIMIT 10"""
 
     return {
+        "profile_preview": """SELECT * FROM raw_trips ORDER BY tpep_pickup_datetime NULLS FIRST,
+            COLUMNS(c -> c <> 'tpep_pickup_datetime') NULLS FIRST LIMIT 10""",
         "profile_row_count": "SELECT COUNT(*) AS total_trips FROM raw_trips",
         "profile_date_range": """SELECT MIN(tpep_pickup_datetime) AS first_trip,
             MAX(tpep_pickup_datetime) AS last_trip FROM raw_trips""",

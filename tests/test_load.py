@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from conftest import PLAIN, dicts
@@ -10,10 +11,10 @@ from pyspark.sql import functions as F
 from tripmill import SavedTables, Settings
 from tripmill import schema as layouts
 from tripmill.__main__ import main
-from tripmill.operators import clean, quality
+from tripmill.operators import clean, patterns, quality, zones
 from tripmill.plans import load
 from tripmill.plans.tables import ROLLUPS
-from tripmill.sources.trips import read_trips
+from tripmill.sources.trips import open_trips, read_trips
 from tripmill.streaming.incremental import load_new_files
 
 SETTINGS = Settings(home="Home", min_od_trips=1, min_pair_trips=1, min_airport_trips=1)
@@ -101,11 +102,9 @@ def test_filters_reach_the_files(spark, locations, month_file):
         assert part in pushed
 
 
-def stream(spark, locations, tmp_path, folder):
+def stream(spark, locations, tmp_path, folder, checkpoint="checkpoint"):
     target = str(tmp_path / "tables")
-    query = load_new_files(
-        spark, folder, layouts.RAW_TRIPS, locations, target, str(tmp_path / "checkpoint"), SETTINGS
-    )
+    query = load_new_files(spark, folder, locations, target, str(tmp_path / checkpoint), SETTINGS)
     query.awaitTermination(300)
     assert query.exception() is None
     load.refresh_rollups(spark, target, SETTINGS)
@@ -134,14 +133,114 @@ def test_repeated_batch_replaces_itself(spark, locations, tmp_path, month_file):
     target = str(tmp_path / "tables")
     load.write_dimensions(spark, locations, target)
     raw = read_trips(spark, month_file(1, {}, {}))
-    load.load_trips(spark, raw, target, SETTINGS, 1)
-    load.load_trips(spark, read_trips(spark, month_file(2, {})), target, SETTINGS, 2, 1)
-    load.load_trips(spark, raw, target, SETTINGS, 1)
+    load.load_trips(spark, raw, target, SETTINGS, "a-1")
+    load.load_trips(spark, read_trips(spark, month_file(2, {})), target, SETTINGS, "a-2")
+    load.load_trips(spark, raw, target, SETTINGS, "a-1")
     t = SavedTables(spark, target, settings=SETTINGS)
     assert t.fact_trip.count() == 3
     assert t.load_audit.count() == 2
 
 
+def test_bulk_load_then_stream(spark, locations, tmp_path, month_file):
+    month_file(1, {}, {})
+    month_file(2, {})
+    load.load(spark, read_trips(spark, month_file.folder), locations, str(tmp_path / "tables"), SETTINGS)
+    t = stream(spark, locations, tmp_path, month_file.folder)
+    assert t.fact_trip.count() == 3
+    month_file(3, {})
+    t = stream(spark, locations, tmp_path, month_file.folder)
+    assert t.fact_trip.count() == t.fact_trip.select("trip_id").distinct().count() == 4
+    assert sorted(r["file_no"] for r in dicts(t.load_audit)) == [0, 1, 2]
+
+
+def test_second_checkpoint_adds(spark, locations, tmp_path, month_file):
+    """Two streams, or one whose checkpoint was lost, into one set of tables."""
+    month_file(1, {}, {}, {})
+    stream(spark, locations, tmp_path, month_file.folder, "first")
+    spark.read.parquet(f"{month_file.folder}/trips_2025-01.parquet").limit(2).coalesce(1).write.parquet(
+        f"{month_file.folder}/more"
+    )
+    month_file(2, {})
+    t = stream(spark, locations, tmp_path, month_file.folder, "second")
+    assert t.fact_trip.count() == t.fact_trip.select("trip_id").distinct().count() == 6
+    assert t.load_audit.count() == 3
+
+
+def test_load_that_broke_off(spark, locations, tmp_path, month_file):
+    """Trips without an audit are not part of the table, and their files are loaded again."""
+    month_file(1, {})
+    stream(spark, locations, tmp_path, month_file.folder, "first")
+    month_file(2, {}, {})
+    target = str(tmp_path / "tables")
+    load.load_trips(spark, read_trips(spark, f"{month_file.folder}/trips_2025-02.parquet"), target, SETTINGS, "lost-0")
+    import shutil
+
+    shutil.rmtree(f"{target}/load_audit/load_batch=lost-0")
+    assert SavedTables(spark, target, settings=SETTINGS).fact_trip.count() == 1
+    t = stream(spark, locations, tmp_path, month_file.folder, "first")
+    assert t.fact_trip.count() == t.fact_trip.select("trip_id").distinct().count() == 3
+
+
+@pytest.mark.parametrize("incremental", [False, True])
+def test_files_that_differ_or_are_broken(spark, locations, tmp_path, month_file, incremental):
+    first = month_file(1, {})
+    spark.read.parquet(first).withColumn("passenger_count", F.col("passenger_count").cast("bigint")).drop(
+        "airport_fee"
+    ).coalesce(1).write.parquet(f"{month_file.folder}/old")
+    month_file(2, {"airport_fee": 1.75})
+    with open(f"{month_file.folder}/trips_2025-03.parquet", "w") as broken:
+        broken.write("no parquet at all")
+    if incremental:
+        t = stream(spark, locations, tmp_path, month_file.folder)
+    else:
+        found = open_trips(spark, month_file.folder)
+        assert len(found.unreadable) == 1
+        t = load.load(spark, found.raw, locations, str(tmp_path / "tables"), SETTINGS, found.unreadable)
+    assert sorted(r["airport_fee"] or -1 for r in dicts(t.fact_trip)) == [-1, 0.0, 1.75] or sorted(
+        str(r["airport_fee"]) for r in dicts(t.fact_trip)
+    ) == ["0.0", "1.75", "None"]
+    assert sorted(r["status"] for r in dicts(t.load_audit)) == ["loaded", "loaded", "loaded", "rejected"]
+    assert {r["passenger_count"] for r in dicts(t.fact_trip)} == {1}
+
+
+def test_fares_are_not_rounded(spark, locations, tmp_path, month_file):
+    raw = read_trips(spark, month_file(1, {"fare_amount": 10.00004}, {"fare_amount": 10.00004}, {"tip_amount": float("inf")}))
+    t = load.load(spark, raw, locations, str(tmp_path / "tables"), SETTINGS)
+    assert t.mv_zone_pickup.first()["median_fare"] == 10.00004
+    assert t.load_audit.first()["filtered_trips"] == 1
+
+
+def test_stored_layout_and_plan(spark, locations, tmp_path, month_file):
+    raw = read_trips(spark, month_file(1, {}))
+    t = load.load(spark, raw, locations, str(tmp_path / "tables"), SETTINGS)
+    assert t.fact_trip.schema["source_period"].dataType.simpleString() == "string"
+    for report in (zones.activity_by_hour(t), patterns.hourly_since(t)):
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        filters = re.search(r"fact_trip.*?PartitionFilters: \[(.*?)\], PushedFilters", plan.replace("\n", " "))
+        assert filters and "pickup_month" in filters[1], plan
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        files = t.load_audit.filter("file_no IS NOT NULL")
+        plan = clean.accepted(raw, files)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning" not in plan
+
+
+def test_long_results_come_out_whole(spark, tmp_path, month_file, capsys):
+    zones_file = tmp_path / "zones.csv"
+    zones_file.write_text('"LocationID","Borough","Zone","service_zone"\n1,"Home","A","Yellow"\n2,"Unknown","N/A","N/A"\n')
+    month_file(1, *[{"fare_amount": 5 + k / 100} for k in range(30)])
+    arguments = ["--trips", month_file.folder, "--zones", str(zones_file), "--out", str(tmp_path / "out")]
+    main(["--home", "Home", "profile", "profile_borough_distribution", *arguments])
+    assert {r["borough"]: r["count"] for r in dicts(spark.read.parquet(str(tmp_path / "out")))} == {"Home": 1, "Unknown": 1}
+    main(["--home", "Home", "profile", "profile_preview", *arguments[:4], "--json", "--rows", "4"])
+    printed = capsys.readouterr()
+    assert len(printed.out.strip().splitlines()) == 4
+    assert "first 4 rows" in printed.err
+
+
 def test_rollup_names_cover_the_saved_tables():
     assert len(ROLLUPS) == 6
 

@@ -11,7 +11,6 @@ import __spark_entry__ as entries
 from tripmill import TripTables
 from tripmill.operators import anomalies, flows, profile, vendors
 from tripmill.plans import catalog, staging
-from tripmill.sources import sizing
 
 
 @pytest.fixture(scope="module")
@@ -116,18 +115,6 @@ def test_staged_tables_are_shared_and_noticed_when_inputs_change(spark, staged,
     assert 0 < less < full
 
 
-def test_partitions_follow_the_input(spark):
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    try:
-        assert sizing.fit_shuffles(spark, 1000) == 8
-        assert spark.conf.get(key, None) is None
-        assert sizing.fit_shuffles(spark, 100 << 40) == 102_400
-        assert spark.conf.get(key) == "102400"
-        assert sizing.fit_shuffles(spark, 1000) == 102_400
-    finally:
-        spark.conf.unset(key)
-
-
 class FakeSession:
     """A session as far as the choice of a folder goes."""
 

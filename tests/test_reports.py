@@ -343,10 +343,11 @@ LIMITED = [
 @pytest.mark.parametrize("report", LIMITED)
 def test_limits(tables, report):
     t = tables({})
-    for bad in (0, -1, 1001, 2.5, "5"):
+    short = report.__name__.startswith("api_")
+    for bad in (0, -1, 2.5, "5", *([1001] if short else [])):
         with pytest.raises(ValueError):
             report(t, limit=bad)
-    for good in (1, 1000):
+    for good in (1, 1000, *([] if short else [5000])):
         assert report(t, limit=good).columns
 
 

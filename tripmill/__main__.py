@@ -10,6 +10,7 @@
 from __future__ import annotations
 
 import argparse
+import sys
 
 from pyspark.sql import functions as F
 
@@ -18,9 +19,8 @@ from tripmill.operators import clean
 from tripmill.plans import catalog, load
 from tripmill.plans.tables import SavedTables, TripTables
 from tripmill.session import build_session
-from tripmill.sources import sizing
-from tripmill.sources.dimensions import read_locations
-from tripmill.sources.trips import read_trips
+from tripmill.sources.dimensions import clean_zones, read_locations, read_zone_lookup
+from tripmill.sources.trips import open_trips, read_trips
 from tripmill.streaming.incremental import load_new_files
 
 
@@ -30,9 +30,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     actions = parser.add_subparsers(dest="action", required=True)
 
     whole = actions.add_parser("load", help="load trip files from scratch")
-    whole.add_argument("--trips", nargs="+", required=True, help="files or globs, one per schema generation")
+    whole.add_argument("--trips", nargs="+", required=True, help="files, folders or globs")
     whole.add_argument("--zones", required=True)
     whole.add_argument("--tables", required=True)
+    whole.add_argument("--rows", type=int, default=1000, help="most rows of the audit to print")
 
     new = actions.add_parser("new", help="load files that arrived since the last time")
     new.add_argument("--folder", required=True)
@@ -45,6 +46,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         report.add_argument("name", choices=sorted(catalog.REPORTS))
         report.add_argument("--limit", type=int)
         report.add_argument("--json", action="store_true", help="one JSON object per row")
+        report.add_argument("--out", help="write all rows to this path, as Parquet or with --json as JSON")
+        report.add_argument("--rows", type=int, default=1000, help="most rows to print")
         if name == "report":
             report.add_argument("--tables", required=True)
         else:
@@ -53,13 +56,26 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
-def _print(df, as_json: bool) -> None:
-    """Rows are fetched one partition at a time; most reports have a few dozen."""
+def _print(df, rows: int, as_json: bool) -> None:
+    """The first rows for the terminal, and a word if there are more."""
+    found = df.limit(rows + 1).select(F.to_json(F.struct("*"))).collect() if as_json else None
     if as_json:
-        for row in df.select(F.to_json(F.struct("*"))).toLocalIterator():
+        for row in found[:rows]:
             print(row[0])
+        more = len(found) > rows
     else:
-        df.show(1000, truncate=False)
+        df.show(rows, truncate=False)
+        more = df.limit(rows + 1).count() > rows
+    if more:
+        print(f"only the first {rows} rows; write all with --out", file=sys.stderr)
+
+
+def _deliver(df, args: argparse.Namespace) -> None:
+    """All rows to a path, written by the executors, or the first ones to the terminal."""
+    if args.out:
+        df.write.mode("overwrite").format("json" if args.json else "parquet").save(args.out)
+    else:
+        _print(df, args.rows, args.json)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -67,26 +83,26 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session()
     settings = Settings(home=args.home)
     if args.action == "load":
-        sizing.fit_shuffles(spark, sizing.total_bytes(sizing.list_files(spark, *args.trips)))
         zones = read_locations(spark, args.zones)
-        tables = load.load(spark, read_trips(spark, *args.trips), zones, args.tables, settings)
-        tables.load_audit.orderBy("source_file").show(1000, truncate=False)
+        found = open_trips(spark, *args.trips)
+        tables = load.load(spark, found.raw, zones, args.tables, settings, found.unreadable)
+        _print(tables.load_audit.orderBy("source_file"), args.rows, False)
         clean.audit_totals(tables.load_audit).show()
         catalog.run("load_table_counts", tables).show(truncate=False)
         catalog.run("load_averages", tables).show()
     elif args.action == "new":
-        layout = spark.read.parquet(args.folder).schema
         zones = read_locations(spark, args.zones)
-        load_new_files(spark, args.folder, layout, zones, args.tables, args.checkpoint, settings).awaitTermination()
+        load_new_files(spark, args.folder, zones, args.tables, args.checkpoint, settings).awaitTermination()
         load.refresh_rollups(spark, args.tables, settings)
     else:
         if args.action == "report":
             tables = SavedTables(spark, args.tables, settings=settings)
         else:
-            zones = read_locations(spark, args.zones)
-            tables = TripTables(spark, zones, read_trips(spark, *args.trips), settings=settings)
+            lookup = read_zone_lookup(spark, args.zones)
+            tables = TripTables(spark, clean_zones(lookup), read_trips(spark, *args.trips), settings=settings)
+            tables.zone_lookup = lookup
         options = {} if args.limit is None else {"limit": args.limit}
-        _print(catalog.run(args.name, tables, **options), args.json)
+        _deliver(catalog.run(args.name, tables, **options), args)
 
 
 if __name__ == "__main__":

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+# Rows that a response-shaped report may be asked for.
+API_ROWS = 1000
 
-def check_limit(limit: int, most: int = 1000) -> int:
-    """A row limit must be a whole number from 1 to ``most``."""
-    if not isinstance(limit, int) or not 1 <= limit <= most:
+
+def check_limit(limit: int, most: int | None = None) -> int:
+    """A row limit must be a whole number from 1, to ``most`` if that is given."""
+    if not isinstance(limit, int) or limit < 1:
+        raise ValueError(f"limit must be a whole number from 1, got {limit!r}")
+    if most is not None and limit > most:
         raise ValueError(f"limit must be between 1 and {most}, got {limit!r}")
     return limit

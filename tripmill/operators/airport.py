@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.functions.arguments import check_limit
+from tripmill.functions.arguments import API_ROWS, check_limit
 from tripmill.functions.bands import Bands
 from tripmill.functions.exact import count_where, int_mean, mean, minutes, percent, ratio_mean, round_half_up, total
 from tripmill.functions.ranking import over_all, top
@@ -145,4 +145,4 @@ def api_top_origins(t: TripTables, limit: int = 20, min_trips: int = 10) -> Data
         )
         .filter(F.col("trip_count") >= min_trips)
     )
-    return top(rows, check_limit(limit), F.col("trip_count").desc())
+    return top(rows, check_limit(limit, API_ROWS), F.col("trip_count").desc())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.functions.arguments import check_limit
+from tripmill.functions.arguments import API_ROWS, check_limit
 from tripmill.functions.exact import count_where, minutes, percent, round_half_up
 from tripmill.functions.ranking import top
 from tripmill.operators.quantiles import grouped_quantiles
@@ -210,7 +210,7 @@ def api_high_fare_per_mile(t: TripTables, limit: int = 100) -> DataFrame:
         round_half_up(F.col("fare_per_mile"), 2).alias("fare_per_mile"),
         round_half_up(minutes(_seconds()), 1).alias("duration_min"),
     )
-    return top(rows, check_limit(limit), F.col("fare_per_mile").desc())
+    return top(rows, check_limit(limit, API_ROWS), F.col("fare_per_mile").desc())
 
 
 def api_summary(t: TripTables) -> DataFrame:

@@ -11,8 +11,22 @@ from tripmill.functions.exact import count_where, percent
 # Raw columns that must be present in every trip that passes the filters. The filters
 # themselves already rule out a missing location, time, fare or distance.
 _REQUIRED_RAW = ["VendorID", "payment_type", "RatecodeID", "total_amount"]
+# Amounts that are no numbers would spoil every sum they enter.
+_AMOUNTS = [
+    "extra",
+    "mta_tax",
+    "tip_amount",
+    "tolls_amount",
+    "improvement_surcharge",
+    "total_amount",
+    "congestion_surcharge",
+    "airport_fee",
+]
+_FINITE = " AND ".join(f"coalesce(abs({name}) < double('infinity'), true)" for name in _AMOUNTS)
 # A trip id is the file's number followed by the row's position in the file.
 _ROW_BITS = 40
+# Files up to this many are broadcast, by hashes of their paths: 40 MB at most.
+MOST_FILES = 1_000_000
 # Year or year-month standing by itself in a file or folder name.
 _PERIOD = r"(?<![0-9A-Za-z])((?:19|20)\d{2}(?:-(?:0[1-9]|1[0-2]))?)(?![0-9A-Za-z])"
 
@@ -36,6 +50,7 @@ def is_plausible() -> Column:
         & F.col("passenger_count").between(1.0, 6.0)
         & (F.col("tpep_pickup_datetime") < F.col("tpep_dropoff_datetime"))
         & (elapsed < F.expr("INTERVAL '7200' SECOND"))
+        & F.expr(_FINITE)
     )
 
 
@@ -122,17 +137,40 @@ def number_files(audit: DataFrame, first: int = 0) -> DataFrame:
     )
 
 
+def path_key(name: str = "source_file") -> Column:
+    return F.xxhash64(name)
+
+
 def accepted(raw: DataFrame, files: DataFrame) -> DataFrame:
     """Rows of the numbered files with their period; rows of rejected files drop out.
 
-    Trips without an id of their own get the number of their file and their row in it.
+    Trips without an id of their own get the number of their file and their row in it. Files are
+    looked up by the hash of their path: a row of some 40 bytes each, which is broadcast up to
+    ``MOST_FILES``, so that trips are not shuffled by their path. The audit has made sure that no
+    two paths share a hash.
     """
-    trips = raw.join(files.select("source_file", "file_no", "source_period"), "source_file")
+    known = files.select(path_key().alias("_path"), "file_no", "source_period")
+    if files.count() <= MOST_FILES:
+        known = F.broadcast(known)
+    trips = raw.join(known, path_key() == F.col("_path")).drop("_path")
     if "trip_id" not in raw.columns:
         trips = trips.withColumn("trip_id", F.shiftleft("file_no", _ROW_BITS) + F.col("source_row"))
     return trips
 
 
+def without_files(raw: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows of files other than those of ``files``, by the hash of their path."""
+    known = files.select(path_key().alias("_path")).distinct()
+    if files.count() <= MOST_FILES:
+        known = F.broadcast(known)
+    return raw.join(known, path_key() == F.col("_path"), "left_anti")
+
+
+def month_of(day: Column) -> Column:
+    """``2025-01``; months compare as text like the days in them."""
+    return F.substring(day.cast("string"), 1, 7)
+
+
 def elapsed_seconds() -> Column:
     """Whole seconds between pickup and dropoff, halves to even, free of any time zone."""
     span = F.col("tpep_dropoff_datetime") - F.col("tpep_pickup_datetime")
@@ -143,8 +181,8 @@ def elapsed_seconds() -> Column:
 def build_fact(trips: DataFrame) -> DataFrame:
     """Project clean trips, with ``trip_id`` and ``source_period``, onto the fact columns.
 
-    The period (year or year-month, from the file's name or else its folder) is carried
-    along as the partition column of the stored table.
+    The month of the pickup is carried along as the partition column of the stored table, the period
+    (year or year-month, from the file's name or else its folder) for the record.
     """
     pickup = F.col("tpep_pickup_datetime")
     weekday = F.dayofweek(pickup) - 1  # Sunday is 0
@@ -188,4 +226,5 @@ def build_fact(trips: DataFrame) -> DataFrame:
             "avg_speed_mph": F.when(moving, miles / hours),
         }
     )
-    return derived.select(*schema.FACT_TRIP.names, "source_file", "source_period")
+    month = month_of(F.col("pickup_date")).alias("pickup_month")
+    return derived.select(*schema.FACT_TRIP.names, "source_file", "source_period", month)

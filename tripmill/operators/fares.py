@@ -110,10 +110,11 @@ def tip_ratio_distribution(t: TripTables) -> DataFrame:
             mean("tip_amount").alias("avg_tip_in_range"),
         )
     )
-    return grouped.orderBy("band").select(
+    shares = grouped.withColumn("pct_of_trips", percent(F.col("trip_count"), over_all(F.sum("trip_count"))))
+    return shares.orderBy("band").select(
         TIP_RANGES.label(F.col("band")).alias("tip_range"),
         "trip_count",
-        percent(F.col("trip_count"), over_all(F.sum("trip_count"))).alias("pct_of_trips"),
+        "pct_of_trips",
         "avg_fare_in_range",
         "avg_tip_in_range",
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.functions.arguments import check_limit
+from tripmill.functions.arguments import API_ROWS, check_limit
 from tripmill.functions.bands import Bands
 from tripmill.functions.exact import minutes, percent, ratio_mean, round_half_up
 from tripmill.functions.ranking import top, top_ranked
@@ -124,4 +124,4 @@ def api_top_routes(t: TripTables, limit: int = 50) -> DataFrame:
         round_half_up(F.col("avg_distance"), 2).alias("avg_distance"),
         round_half_up(minutes(F.col("avg_duration_sec")), 1).alias("avg_duration_min"),
     )
-    return top(rows, check_limit(limit), F.col("trip_count").desc())
+    return top(rows, check_limit(limit, API_ROWS), F.col("trip_count").desc())

@@ -25,7 +25,7 @@ def zone_popularity(t: TripTables, limit: int = 10) -> DataFrame:
 
 def hourly_since(t: TripTables, start: dt.date = dt.date(2025, 1, 1)) -> DataFrame:
     return (
-        t.fact_trip.filter(F.col("pickup_date") >= F.lit(start))
+        t.fact_trip.filter((F.col("pickup_month") >= f"{start:%Y-%m}") & (F.col("pickup_date") >= F.lit(start)))
         .groupBy("pickup_hour")
         .agg(F.count("*").alias("trip_count"), mean("trip_distance").alias("avg_distance"))
         .orderBy("pickup_hour")

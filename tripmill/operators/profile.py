@@ -15,7 +15,9 @@ from tripmill.sources import trips
 
 
 def preview(t: TripTables, rows: int = 10) -> DataFrame:
-    return trips.preview(t.raw, rows)
+    """The first trips in order of pickup, ties by all columns."""
+    columns = [c for c in t.raw.columns if c != "tpep_pickup_datetime"]
+    return trips.preview(t.raw.orderBy("tpep_pickup_datetime", *columns), rows)
 
 
 def schema(t: TripTables) -> DataFrame:
@@ -36,7 +38,7 @@ def date_range(t: TripTables) -> DataFrame:
 
 def borough_distribution(t: TripTables) -> DataFrame:
     return (
-        t.dim_location.filter(F.col("borough").isNotNull())
+        t.zone_lookup.filter(F.col("borough").isNotNull())
         .groupBy("borough")
         .agg(F.count("*").alias("count"))
         .orderBy(F.col("count").desc(), "borough")

@@ -21,13 +21,13 @@ def route_fares(fact: DataFrame) -> DataFrame:
     """Trips per route and fare, with the sums the averages need.
 
     The common ground of the zone and route rollups, so that three of them cost one scan of
-    the fact table. Fares below 500 counted in ten-thousandths bound the rows of a route,
-    however many trips it has: some 50,000 for fares in whole cents. A route holding a
+    the fact table. Fares are kept as they are, so medians are fares that occur; fares in
+    whole cents below 500 bound the rows of a route by 50,000. A route holding a
     third of all trips is reduced before the shuffle and spread over its fares in it.
     """
     return (
         fact.filter(metered())
-        .groupBy("pu_location_id", "do_location_id", F.expr(units("fare_amount")).alias("fare"))
+        .groupBy("pu_location_id", "do_location_id", F.col("fare_amount").alias("fare"))
         .agg(
             F.count("*").alias("n"),
             F.sum(F.expr(units("trip_distance"))).alias("miles"),
@@ -37,12 +37,12 @@ def route_fares(fact: DataFrame) -> DataFrame:
 
 
 def _fare_quantile(share: float) -> Column:
-    return quantile(share, f"fare / {AMOUNT_STEP}D", "n")
+    return quantile(share, "fare", "n")
 
 
 def _counted_means() -> dict[str, Column]:
     return {
-        "fare": F.expr(f"CAST(sum(fare * n) AS DOUBLE) / {AMOUNT_STEP}D / sum(n)"),
+        "fare": F.expr(f"CAST(sum({units('fare')} * n) AS DOUBLE) / {AMOUNT_STEP}D / sum(n)"),
         "distance": F.expr(f"CAST(sum(miles) AS DOUBLE) / {AMOUNT_STEP}D / sum(n)"),
         "seconds": F.expr("CAST(sum(seconds) AS DOUBLE) / sum(n)"),
     }

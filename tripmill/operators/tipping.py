@@ -124,10 +124,11 @@ def tipper_categories(t: TripTables) -> DataFrame:
             minutes(int_mean("trip_duration_seconds")).alias("avg_duration_min"),
         )
     )
-    return grouped.orderBy("band").select(
+    shares = grouped.withColumn("pct_of_trips", percent(F.col("trip_count"), over_all(F.sum("trip_count"))))
+    return shares.orderBy("band").select(
         TIPPERS.label(F.col("band")).alias("tipper_category"),
         "trip_count",
-        percent(F.col("trip_count"), over_all(F.sum("trip_count"))).alias("pct_of_trips"),
+        "pct_of_trips",
         "avg_fare",
         "avg_distance",
         "avg_duration_min",

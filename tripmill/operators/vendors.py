@@ -17,8 +17,8 @@ def performance(t: TripTables) -> DataFrame:
     hours = F.col("avg_duration_sec") / F.lit(3600.0)
     joined = with_vendor(t.mv_vendor_performance, t)
     return (
-        joined.orderBy(F.col("trip_count").desc(), "vendor_id")
-        .select(
+        joined.select(
+            "vendor_id",
             "vendor_name",
             "vendor_short_name",
             "trip_count",
@@ -33,6 +33,8 @@ def performance(t: TripTables) -> DataFrame:
             F.try_divide("avg_fare", "avg_distance").alias("fare_per_mile"),
             F.try_divide(F.col("avg_distance"), hours).alias("avg_speed_mph"),
         )
+        .orderBy(F.col("trip_count").desc(), "vendor_id")
+        .drop("vendor_id")
     )
 
 

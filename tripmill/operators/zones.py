@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.functions.arguments import check_limit
+from tripmill.functions.arguments import API_ROWS, check_limit
 from tripmill.functions.exact import mean, minutes, round_half_up
 from tripmill.functions.ranking import top, top_ranked
+from tripmill.operators.clean import month_of
 from tripmill.operators.star import with_zone
 from tripmill.plans.tables import TripTables
 
@@ -78,7 +79,10 @@ def recent_start(t: TripTables):
 
 
 def activity_by_hour(t: TripTables) -> DataFrame:
-    recent = t.fact_trip.filter((F.col("fare_amount") > 0) & (F.col("pickup_date") >= recent_start(t)))
+    start = recent_start(t)
+    # The month is the partition column of the fact table; the start is a constant, so it prunes.
+    recent = t.fact_trip.filter((F.col("pickup_month") >= month_of(start)) & (F.col("pickup_date") >= start))
+    recent = recent.filter(F.col("fare_amount") > 0)
     return (
         with_zone(recent, t, "pu_location_id", "zone", home_only=True)
         .groupBy("zone", "pickup_hour")
@@ -91,7 +95,7 @@ def api_top_pickup(t: TripTables, limit: int = 20) -> DataFrame:
     rows = _home_rollup(t, t.mv_zone_pickup)
     kept = top(
         rows.select("zone", "borough", "pickup_count", "avg_fare", "avg_distance", "median_fare"),
-        check_limit(limit),
+        check_limit(limit, API_ROWS),
         F.col("pickup_count").desc(),
     )
     return kept.withColumns(
@@ -103,7 +107,7 @@ def api_top_dropoff(t: TripTables, limit: int = 20) -> DataFrame:
     rows = _home_rollup(t, t.mv_zone_dropoff)
     kept = top(
         rows.select("zone", "borough", "dropoff_count", "avg_fare", "avg_distance"),
-        check_limit(limit),
+        check_limit(limit, API_ROWS),
         F.col("dropoff_count").desc(),
     )
     return kept.withColumns({c: round_half_up(F.col(c), 2) for c in ("avg_fare", "avg_distance")})

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from tripmill import schema
 from tripmill.operators import (
     airport,
     anomalies,
@@ -132,7 +133,7 @@ PATTERN_REPORTS: dict[str, Report] = {
 }
 
 LOAD_REPORTS: dict[str, Report] = {
-    "fact_trip": lambda t: t.fact_trip,
+    "fact_trip": lambda t: t.fact_trip.select(*schema.FACT_TRIP.names, "source_file", "source_period"),
     "dim_location": lambda t: t.dim_location,
     "load_audit": lambda t: clean.load_audit(t.raw, t.home_ids),
     "load_totals": lambda t: clean.audit_totals(t.load_audit),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,17 +13,25 @@ from tripmill.operators import clean
 from tripmill.plans.tables import ROLLUPS, SavedTables, TripTables
 from tripmill.sources import dimensions, store
 
-BULK = 0
+BULK = "bulk"
 _JOBS_AT_ONCE = 4
 
 
 def load(
-    spark: SparkSession, raw: DataFrame, locations: DataFrame, path: str, settings: Settings | None = None
+    spark: SparkSession,
+    raw: DataFrame,
+    locations: DataFrame,
+    path: str,
+    settings: Settings | None = None,
+    unreadable: Sequence[str] = (),
 ) -> SavedTables:
-    """Load everything from scratch under ``path``, replacing what is there."""
+    """Load everything from scratch under ``path``, replacing what is there.
+
+    ``unreadable`` names files that could not be opened; they are listed in the audit as rejected.
+    """
     settings = settings or Settings()
     write_dimensions(spark, locations, path)
-    load_trips(spark, raw, path, settings, BULK)
+    load_trips(spark, raw, path, settings, BULK, unreadable=unreadable)
     refresh_rollups(spark, path, settings)
     return SavedTables(spark, path, raw, settings)
 
@@ -38,34 +47,64 @@ def write_dimensions(spark: SparkSession, locations: DataFrame, path: str) -> No
 
 
 def load_trips(
-    spark: SparkSession, raw: DataFrame, path: str, settings: Settings, batch: int, first_file: int = 0
+    spark: SparkSession,
+    raw: DataFrame,
+    path: str,
+    settings: Settings,
+    batch: str,
+    unreadable: Sequence[str] = (),
 ) -> None:
-    """Audit the files of one batch, then clean and write the trips of those accepted.
+    """Decide which files of one batch to accept, write their trips, then list the files as loaded.
 
-    The audit is stored first: it decides which whole files are rejected and numbers the
-    others, and the fact table is built from that stored decision.
+    The decision is staged first, and the fact table is built from the staged copy. The audit comes last:
+    trips of a batch it does not list are not part of the table, so a load that breaks off in between
+    leaves nothing to be seen, and its files are loaded by the next one. Files that an earlier batch lists
+    are left alone, and file numbers go on from the highest one listed.
     """
     ids = clean.home_ids(store.read_table(spark, path, "dim_location"), settings.home)
+    everything, first = batch == BULK, 0
+    earlier = None if everything else loaded_files(spark, path)
+    if earlier is not None:
+        earlier = earlier.filter(F.col("load_batch") != batch)
+        raw = clean.without_files(raw, earlier)
+        last = earlier.agg(F.max("file_no")).first()[0]
+        first = 0 if last is None else last + 1
     audit = clean.load_audit(raw, ids)
-    numbers = clean.number_files(audit, first_file)
-    everything = batch == BULK
-    store.write_audit(audit.join(numbers, "source_file", "left"), path, batch, everything)
-
-    stored = store.read_table(spark, path, "load_audit").filter(F.col("load_batch") == batch)
-    files = stored.filter(F.col("file_no").isNotNull())
-    trips = clean.accepted(clean.clean_trips(raw, ids), files)
-    store.write_fact(clean.build_fact(trips), path, batch, everything, _is_thinned(stored))
-
-
-def _is_thinned(audit: DataFrame) -> bool:
-    """Less than half of the trips found are kept."""
-    totals = clean.audit_totals(audit).first()
-    return totals["loaded_trips"] < totals["filtered_trips"]
+    if unreadable:
+        audit = audit.unionByName(_rejected(spark, unreadable, earlier), allowMissingColumns=True)
+    audit = audit.join(clean.number_files(audit, first), "source_file", "left")
+    staged = store.stage(audit, f"{path}/load_pending", batch)
+    if staged.groupBy(clean.path_key()).count().filter("count > 1").limit(1).count():
+        raise ValueError("two source files share the hash of their path; load them in separate batches")
+
+    trips = clean.accepted(clean.clean_trips(raw, ids), staged.filter(F.col("file_no").isNotNull()))
+    if everything:
+        # A table is never seen with the new trips and the old audit, or the other way round.
+        store.write_audit(staged.limit(0), path, batch, True)
+    store.write_fact(clean.build_fact(trips), path, batch, everything)
+    store.write_audit(staged, path, batch, everything)
+
+
+def _rejected(spark: SparkSession, files: Sequence[str], earlier: DataFrame | None) -> DataFrame:
+    """Audit rows of files that could not be opened, without those an earlier batch lists."""
+    rows = spark.createDataFrame([(f, "rejected") for f in files], "source_file string, status string")
+    return rows if earlier is None else rows.join(earlier.select("source_file"), "source_file", "left_anti")
+
+
+def loaded_files(spark: SparkSession, path: str) -> DataFrame | None:
+    """The audit of all complete batches, or None before the first load."""
+    try:
+        audit = store.read_table(spark, path, "load_audit")
+    except Exception as error:  # the class depends on the kind of session
+        if "PATH_NOT_FOUND" in str(error):
+            return None
+        raise
+    return audit
 
 
 def refresh_rollups(spark: SparkSession, path: str, settings: Settings | None = None) -> None:
     """Rebuild the rollups and the summary from the stored fact table."""
-    fact = store.read_table(spark, path, "fact_trip")
+    fact = SavedTables(spark, path, settings=settings).fact_trip
     tables = TripTables(spark, store.read_table(spark, path, "dim_location"), fact=fact, settings=settings)
     tables.route_fares = store.stage(tables.route_fares, path, "route_fares")
     _write_together({name: getattr(tables, name) for name in [*ROLLUPS, "summary_statistics"]}, path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import hashlib
 import shutil
 import tempfile
 import threading
@@ -11,11 +12,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill import schema
 from tripmill.config import Settings
+from tripmill.functions.exact import total
 from tripmill.operators import clean
+from tripmill.plans import load
 from tripmill.plans.tables import SavedTables, StagedTables, TripTables
-from tripmill.sources import commerce, sizing, store
+from tripmill.sources import commerce, store
+from tripmill.sources.trips import list_files, read_trips
 from tripmill.streaming.incremental import load_new_files
 
 _lock = threading.RLock()
@@ -39,14 +42,13 @@ def shared_folder(spark: SparkSession) -> str | None:
     return None
 
 
-def _survey(spark: SparkSession, folder: str) -> tuple[int, int]:
-    """A number that changes when an input file does, and the size of the input.
+def _mark(spark: SparkSession, folder: str) -> str:
+    """Changes when an input file is replaced: the tables' file lists, from Spark's file index.
 
-    Only the file listing is read.
+    A table whose files are rewritten under the same names within one session is not noticed.
     """
-    files = sizing.list_files(spark, *[f"{folder}/{name}.parquet" for name in commerce.CommerceTables.NAMES])
-    mark = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
-    return tuple(int(x) for x in files.agg(F.sum(mark), F.sum("length")).first())
+    names = [f"{folder}/{name}.parquet" for name in commerce.CommerceTables.NAMES]
+    return hashlib.md5("\n".join(list_files(spark, *names)).encode()).hexdigest()
 
 
 def commerce_plans(
@@ -70,10 +72,8 @@ def commerce_tables(spark: SparkSession, folder: str, settings: Settings) -> Tri
     working on the order tables themselves.
     """
     with _lock:
-        mark, size = _survey(spark, folder)
-        key = (spark.sparkContext.applicationId, folder, settings, mark)
+        key = (spark.sparkContext.applicationId, folder, settings, _mark(spark, folder))
         if key not in _known:
-            sizing.fit_shuffles(spark, size)
             locations, raw, fact = commerce_plans(spark, folder, settings)
             shared = shared_folder(spark)
             if shared is None:
@@ -96,29 +96,54 @@ def write_trip_files(raw: DataFrame, folder: str) -> None:
     )
 
 
+def _work_folder(spark: SparkSession) -> str:
+    shared = shared_folder(spark)
+    if shared is None:
+        raise ValueError("a load keeps its tables under spark.checkpoint.dir, which is not set")
+    return f"{shared}/trip-load-{uuid.uuid4().hex}"
+
+
+def _loaded(spark: SparkSession, path: str, settings: Settings) -> DataFrame:
+    """What a load has stored, per period: trips, distinct ids and sums of the fact table, and the audit's counts."""
+    tables = SavedTables(spark, path, settings=settings)
+    fact = tables.fact_trip.groupBy("source_period").agg(
+        F.count("*").alias("trips"),
+        F.count_distinct("trip_id").alias("trip_ids"),
+        total("fare_amount").alias("fares"),
+        total("trip_distance").alias("miles"),
+        F.sum("trip_duration_seconds").alias("seconds"),
+    )
+    year = F.regexp_extract("source_file", r"trip_year=(\d{4})", 1)
+    audit = tables.load_audit.groupBy(year.alias("source_period")).agg(
+        *[F.sum(c).alias(c) for c in ("original_trips", "loaded_trips", "filtered_trips")]
+    )
+    return audit.join(fact, "source_period", "left").orderBy("source_period")
+
+
+def load_batch(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
+    """Raw trip files written out and loaded from scratch; gives what the stored tables hold."""
+    work = _work_folder(spark)
+    source = commerce.CommerceTables.read(spark, folder)
+    locations = store.stage(commerce.locations(source), work, "locations")
+    write_trip_files(commerce.raw_trips(source), f"{work}/raw")
+    load.load(spark, read_trips(spark, f"{work}/raw"), locations, f"{work}/tables", settings)
+    return _loaded(spark, f"{work}/tables", settings)
+
+
 def incremental_load(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
-    """Trip files arriving in two lots, each picked up by the incremental load.
+    """Trip files arriving in two lots, each picked up by the incremental load, the second by a new stream.
 
-    Gives the stored audit, added up per year.
+    Gives what the stored tables hold.
     """
-    shared = shared_folder(spark)
-    if shared is None:
-        raise ValueError("an incremental load keeps its state in spark.checkpoint.dir, which is not set")
-    work = f"{shared}/trip-stream-{uuid.uuid4().hex}"
+    work = _work_folder(spark)
     source = commerce.CommerceTables.read(spark, folder)
     locations = store.stage(commerce.locations(source), work, "locations")
     trips = commerce.raw_trips(source)
     early = F.col("source_file") < "trips-1998"
-    for lot in (trips.filter(early), trips.filter(~early)):
+    for turn, lot in enumerate((trips.filter(early), trips.filter(~early))):
         write_trip_files(lot, f"{work}/raw")
         query = load_new_files(
-            spark, f"{work}/raw", schema.RAW_TRIPS, locations, f"{work}/tables", f"{work}/checkpoint", settings
+            spark, f"{work}/raw", locations, f"{work}/tables", f"{work}/checkpoint-{turn}", settings
         )
         query.awaitTermination()
-    audit = SavedTables(spark, f"{work}/tables", settings=settings).load_audit
-    year = F.regexp_extract("source_file", r"trip_year=(\d{4})", 1)
-    return (
-        audit.groupBy(year.alias("source_period"))
-        .agg(*[F.sum(c).alias(c) for c in ("original_trips", "loaded_trips", "filtered_trips")])
-        .orderBy("source_period")
-    )
+    return _loaded(spark, f"{work}/tables", settings)

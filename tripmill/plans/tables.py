@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmill.config import Settings
 from tripmill.operators import clean, rollups
@@ -43,6 +44,8 @@ class TripTables:
         self.spark = spark
         self.settings = settings or Settings()
         self.dim_location = locations
+        # The zone lookup as it is, incomplete zones included, where it is at hand.
+        self.zone_lookup = locations
         self._raw = raw
         self._fact = fact
 
@@ -127,7 +130,10 @@ class SavedTables(TripTables):
     def __init__(
         self, spark: SparkSession, path: str, raw: DataFrame | None = None, settings: Settings | None = None
     ) -> None:
+        # Rows of a load that broke off are in no batch that the audit lists.
+        listed = store.read_table(spark, path, "load_audit").select("load_batch").distinct().collect()
         fact = store.read_table(spark, path, "fact_trip")
+        fact = fact.filter(F.col("load_batch").isin([r["load_batch"] for r in listed])).drop("load_batch")
         super().__init__(spark, store.read_table(spark, path, "dim_location"), raw, fact, settings)
         self.path = path
 
@@ -156,4 +162,6 @@ class StagedTables(TripTables):
         super().__init__(spark, store.stage(locations, folder, "dim_location"), raw, fact, settings)
 
     def _provide(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        return store.stage(build(), self.folder, name, spread=name == "fact_trip")
+        if name == "fact_trip":
+            return store.stage_fact(build(), self.folder)
+        return store.stage(build(), self.folder, name)

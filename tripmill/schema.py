@@ -47,6 +47,21 @@ RAW_TRIPS = _struct(
 # Columns that identify a raw row: the file it came from and its place there.
 RAW_ORIGIN = _struct({"source_file": StringType(), "source_row": LongType()})
 
+# One row per source file of a load; ``file_no`` is null for a file of which nothing was loaded.
+LOAD_AUDIT = _struct(
+    {
+        "source_file": StringType(),
+        "original_trips": LongType(),
+        "loaded_trips": LongType(),
+        "status": StringType(),
+        "filtered_trips": LongType(),
+        "filtered_pct": DoubleType(),
+        "file_no": LongType(),
+        "source_period": StringType(),
+        "load_batch": StringType(),
+    }
+)
+
 ZONE_LOOKUP = _struct(
     {
         "LocationID": IntegerType(),

@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-# Partition columns of the fact table: the load that wrote a row, then the year or month
-# of its source file. A load that is run again replaces exactly its own rows.
-FACT_PARTITIONS = ["load_batch", "source_period"]
+from tripmill import schema
+
+# Partition columns of the fact table: the month of the pickup, by which reports prune, and the load that
+# wrote a row. A load that is run again replaces exactly its own rows.
+FACT_PARTITIONS = ["load_batch", "pickup_month"]
+_MORE = [StructField(n, StringType()) for n in ("source_file", "source_period", "pickup_month", "load_batch")]
+# Stored layouts, so that types never depend on what partition folders happen to be called.
+LAYOUTS = {
+    "fact_trip": StructType([*schema.FACT_TRIP, *_MORE]),
+    "load_audit": schema.LOAD_AUDIT,
+}
 
 
 def write_table(df: DataFrame, path: str, name: str) -> None:
@@ -16,35 +25,35 @@ def write_table(df: DataFrame, path: str, name: str) -> None:
 
 
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/{name}")
-
+    reader = spark.read.schema(LAYOUTS[name]) if name in LAYOUTS else spark.read
+    df = reader.parquet(f"{path}/{name}")
+    return df.select(LAYOUTS[name].names) if name in LAYOUTS else df
 
-def stage(df: DataFrame, folder: str, name: str, spread: bool = False) -> DataFrame:
-    """Write a derived table and go on from the written copy, which cuts the lineage.
 
-    ``spread`` evens out the rows first, for tables that come out of a join on a key that
-    may be hot: otherwise one task would write most of the table.
-    """
-    write_table(df.hint("rebalance") if spread else df, folder, name)
+def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """Write a derived table and go on from the written copy, which cuts the lineage."""
+    write_table(df, folder, name)
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
-def write_fact(df: DataFrame, path: str, batch: int, replace_all: bool, thinned: bool) -> None:
-    """Write one load of the fact table.
+def stage_fact(df: DataFrame, folder: str) -> DataFrame:
+    """Stage a fact table by month of pickup, as a load stores it."""
+    rows = df.hint("rebalance", F.col("pickup_month"))
+    _write_partitioned(rows, f"{folder}/fact_trip", ["pickup_month"], True)
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/fact_trip").select(df.columns)
+
+
+def write_fact(df: DataFrame, path: str, batch: str, replace_all: bool) -> None:
+    """Write one load of the fact table, one month of pickups to a partition.
 
-    A task reads part of one source file and so writes into one period: as it is, nothing
-    need be shuffled. Only when the filters left little of each part (``thinned``) are the
-    rows rebalanced, to avoid many small files. AQE then merges small periods and splits one
-    that holds most of the rows. With ``replace_all`` the whole table is replaced, otherwise
-    only the partitions of this batch.
+    Rows are rebalanced by month: AQE merges small months and splits one that holds most of the
+    rows. With ``replace_all`` the whole table is replaced, otherwise only the partitions of this batch.
     """
-    rows = df.withColumn("load_batch", F.lit(batch))
-    if thinned:
-        rows = rows.hint("rebalance", F.col("source_period"))
+    rows = df.withColumn("load_batch", F.lit(batch)).hint("rebalance", F.col("pickup_month"))
     _write_partitioned(rows, f"{path}/fact_trip", FACT_PARTITIONS, replace_all)
 
 
-def write_audit(df: DataFrame, path: str, batch: int, replace_all: bool) -> None:
+def write_audit(df: DataFrame, path: str, batch: str, replace_all: bool) -> None:
     _write_partitioned(df.withColumn("load_batch", F.lit(batch)), f"{path}/load_audit", ["load_batch"], replace_all)
 
 

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import json
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import IntegralType, StructType
 
 from tripmill import schema
 
+_FOOTERS_AT_ONCE = 16
+# What Spark says about a file that is no Parquet, or an empty one.
+_NO_PARQUET = ("CANNOT_READ_FILE_FOOTER", "UNABLE_TO_INFER_SCHEMA", "is not a Parquet file", "Could not read footer")
+
 
 def conform(df: DataFrame) -> DataFrame:
     """Project any yearly variant of the raw files onto the raw schema.
@@ -36,17 +43,64 @@ def conform(df: DataFrame) -> DataFrame:
     return df.select(*columns, *origin)
 
 
-def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
-    """Raw trips from Parquet files, directories or globs.
+@dataclass(frozen=True)
+class TripFiles:
+    """Raw trips of all files that can be read, and the paths of those that cannot."""
+
+    raw: DataFrame
+    unreadable: list[str]
+
+
+def list_files(spark: SparkSession, *paths: str) -> list[str]:
+    """The files behind paths, folders and globs, from Spark's file index; none is opened."""
+    return sorted(spark.read.option("recursiveFileLookup", "true").text(list(paths)).inputFiles())
+
+
+def open_trips(spark: SparkSession, *paths: str) -> TripFiles:
+    """Look at the footer of every file, and read files of the same layout together.
 
-    Pass one path per schema generation: each is read with the types in its own footers
-    and brought to the common schema. Every row keeps the path of its file and its position
-    in that file, which together identify it however often a task is run again.
+    Each file keeps its own column types, so a column that only later files have, or that changes its
+    type, loses no values. A file whose footer cannot be read is set aside and named.
     """
     if not paths:
         raise ValueError("no trip files given")
+    files = list_files(spark, *paths)
+    with ThreadPoolExecutor(_FOOTERS_AT_ONCE) as pool:
+        layouts = list(pool.map(lambda f: _layout(spark, f), files))
+    groups: dict[str, list[str]] = {}
+    for file, layout in zip(files, layouts):
+        if layout is not None:
+            groups.setdefault(layout, []).append(file)
+    parts = [
+        conform(with_origin(spark.read.schema(StructType.fromJson(json.loads(layout))).parquet(*own)))
+        for layout, own in groups.items()
+    ]
+    if not parts:
+        parts = [spark.createDataFrame([], StructType([*schema.RAW_TRIPS, *schema.RAW_ORIGIN]))]
+    unreadable = [f for f, layout in zip(files, layouts) if layout is None]
+    return TripFiles(reduce(DataFrame.unionByName, parts), unreadable)
 
-    return reduce(DataFrame.unionByName, [conform(with_origin(spark.read.parquet(p))) for p in paths])
+
+def _layout(spark: SparkSession, file: str) -> str | None:
+    """Columns of one file as JSON, or None if its footer is no Parquet."""
+    try:
+        return spark.read.parquet(file).schema.json()
+    except Exception as error:  # the class depends on the kind of session
+        if any(sign in str(error) for sign in _NO_PARQUET):
+            return None
+        raise
+
+
+def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
+    """Raw trips from Parquet files, folders or globs, each file read with the types in its own footer.
+
+    Every row keeps the path of its file and its position in that file, which together identify it
+    however often a task is run again. A file that cannot be read is an error; ``open_trips`` sets it aside.
+    """
+    found = open_trips(spark, *paths)
+    if found.unreadable:
+        raise ValueError(f"not readable as Parquet: {', '.join(found.unreadable[:5])}")
+    return found.raw
 
 
 def with_origin(files: DataFrame) -> DataFrame:

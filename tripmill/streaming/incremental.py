@@ -2,69 +2,68 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from tripmill.config import Settings
 from tripmill.plans import load
-from tripmill.sources import store
-from tripmill.sources.trips import conform, with_origin
-
+from tripmill.sources.trips import open_trips
 
-def watch_trips(spark: SparkSession, folder: str, file_schema: StructType) -> DataFrame:
-    """Stream of raw trips from the Parquet files of a folder, with their origin."""
-    return conform(with_origin(spark.readStream.schema(file_schema).parquet(folder)))
+# Files of one micro-batch; a backlog is worked off in several.
+FILES_PER_BATCH = 1000
+# Only the path is asked for, so the content is not read.
+_ARRIVAL = "path string, modificationTime timestamp, length long, content binary"
 
 
-def _next_file_no(spark: SparkSession, path: str, batch: int) -> int:
-    """Number after the last file of earlier batches; a repeated batch gets the same one."""
-    audit = store.read_table(spark, path, "load_audit").filter(F.col("load_batch") < batch)
-    last = audit.agg(F.max("file_no")).first()[0]
-    return 0 if last is None else last + 1
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Names the history that a checkpoint stands for; a new or lost checkpoint gets a new one."""
+    folder = f"{checkpoint.rstrip('/')}/stream_name"
+    try:
+        return spark.read.text(folder).first()[0]
+    except Exception as error:  # the class depends on the kind of session
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+    spark.createDataFrame([(uuid.uuid4().hex,)], "value string").coalesce(1).write.text(folder)
+    return spark.read.text(folder).first()[0]
 
 
 def load_new_files(
     spark: SparkSession,
     folder: str,
-    file_schema: StructType,
     locations: DataFrame,
     path: str,
     checkpoint: str,
     settings: Settings | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Load every file not seen before, then stop.
 
-    The checkpoint remembers the files. Each micro-batch replaces the partitions of its own
-    batch number, so a batch repeated after a failure leaves no duplicates. Trip ids go on
-    from the last numbered file. Rollups are left alone; rebuild them with
-    ``load.refresh_rollups`` when the query has ended.
+    The checkpoint remembers the files, and the audit of the tables does too: a file that a bulk load or
+    another stream has loaded is left alone. Batches are named after the stream and its batch number, so a
+    batch repeated after a failure replaces itself and no other. Files are opened batch by batch with the
+    types in their own footers; one that cannot be opened is listed as rejected. Rollups are left alone;
+    rebuild them with ``load.refresh_rollups`` when the query has ended.
     """
     settings = settings or Settings()
     load.write_dimensions(spark, locations, path)
+    stream = _stream_id(spark, checkpoint)
 
-    def write_batch(rows: DataFrame, batch_id: int) -> None:
-        session = rows.sparkSession
-        batch = batch_id + 1  # 0 is the bulk load
-        known = _has_audit(session, path)
-        first = _next_file_no(session, path, batch) if known else 0
-        load.load_trips(session, rows, path, settings, batch, first)
+    def write_batch(files: DataFrame, batch_id: int) -> None:
+        session = files.sparkSession
+        paths = [r["path"] for r in files.select("path").collect()]
+        if paths:
+            found = open_trips(session, *paths)
+            load.load_trips(session, found.raw, path, settings, f"{stream}-{batch_id}", found.unreadable)
 
+    arrivals = spark.readStream.format("binaryFile").schema(_ARRIVAL).option("recursiveFileLookup", "true")
     return (
-        watch_trips(spark, folder, file_schema)
+        arrivals.option("maxFilesPerTrigger", files_per_batch)
+        .load(folder)
+        .select("path")
         .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-
-
-def _has_audit(spark: SparkSession, path: str) -> bool:
-    try:
-        store.read_table(spark, path, "load_audit")
-    except Exception as error:  # the class depends on the kind of session
-        if "PATH_NOT_FOUND" in str(error):
-            return False
-        raise
-    return True
