@@ -82,7 +82,7 @@ def mix(
     docs = docs.drop("copy", "shuffle_key")
     sizes = common.stage(docs.select("source", size.alias("size")).groupBy("source").agg(F.sum("size").alias("size")), "sizes")
     rates = target_rates(sizes, weights, temperature).filter(F.col("rate") > 0)
-    pieces = F.ceil(F.col("rate") / PIECE).cast("int")
+    pieces = F.greatest(F.lit(1), F.ceil(F.col("rate") / PIECE).cast("int"))
     tables = common.stage(
         rates.select(F.col("source").alias("_source"), pieces.alias("_pieces"), F.col("rate"))
         .withColumn("_cumulative", _cumulative(F.col("rate") / F.col("_pieces")))
