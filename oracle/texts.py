@@ -486,7 +486,7 @@ def _profiles(s: Settings) -> dict[str, str]:
 
     return {
         "profile_preview": """SELECT * FROM raw_trips ORDER BY tpep_pickup_datetime NULLS FIRST,
-            COLUMNS(c -> c <> 'tpep_pickup_datetime') NULLS FIRST LIMIT 10""",
+            COLUMNS(lambda c: c <> 'tpep_pickup_datetime') NULLS FIRST LIMIT 10""",
         "profile_row_count": "SELECT COUNT(*) AS total_trips FROM raw_trips",
         "profile_date_range": """SELECT MIN(tpep_pickup_datetime) AS first_trip,
             MAX(tpep_pickup_datetime) AS last_trip FROM raw_trips""",
