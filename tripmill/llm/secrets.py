@@ -44,12 +44,13 @@ RULES = {
 KINDS = [*RULES, "random"]
 _ALPHABET = string.ascii_letters + string.digits + "+/_=-"
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+_JOINTS = ["_", "-", "/", ""]
 _DIGIT = re.compile("[0-9]")
 _IDENTIFIER = re.compile(r"[A-Za-z]{4,}")
 # Hexadecimal runs shorter than the rule's least length are no matches, so they need not be visited.
 _LONG_HEX = re.compile(r"[0-9a-f]{32,}")
 
-TRAIN_DOCUMENTS = 20_000
+TRAIN_DOCUMENTS = 2_000
 # Random strings made per alphabet, and their length.
 _MADE, _MADE_LENGTH = 2_000, 40
 # A string needs this log-likelihood ratio per character, in nats.
@@ -128,15 +129,14 @@ def labelled_strings(text: str) -> Iterator[tuple[int, str]]:
     spans = rule_spans(text)
     for start, end, kind in spans:
         yield 1, RULES["assign"][0].fullmatch(text[start:end])[2] if kind == "assign" else text[start:end]
-    before = "name"
+    before, turn = "name", 0
     for m in _IDENTIFIER.finditer(text):
         if not any(a < m.end() and m.start() < b for a, b, _ in spans):
             yield 0, m[0]
             # Identifiers of code are words put together, sometimes with a number.
-            for joint in ("_", "-", "/"):
-                yield 0, before + joint + m[0]
-            yield 0, before + m[0].capitalize() + str(m.start() % 10)
-            before = m[0]
+            joint = _JOINTS[turn % len(_JOINTS)]
+            yield 0, before + joint + m[0] if joint else before + m[0].capitalize() + str(turn % 10)
+            before, turn = m[0], turn + 1
 
 
 def made_strings(seed: int = 0) -> Iterator[str]:
@@ -165,9 +165,10 @@ def train(docs: DataFrame, threshold: float = THRESHOLD, train_documents: int =
     def count(batches: Iterator) -> Iterator:
         counts = Counter()
         for batch in batches:
-            for text in batch["text"]:
-                for label, found in labelled_strings(text):
-                    counts.update((label, g) for g in grams(found))
+            strings = Counter(x for text in batch["text"] for x in labelled_strings(text))
+            for (label, found), n in strings.items():
+                for gram in grams(found):
+                    counts[label, gram] += n
         yield pd.DataFrame([(a, g, n) for (a, g), n in counts.items()], columns=["label", "gram", "n"])
 
     summed = sample.mapInPandas(count, "label int, gram string, n long").groupBy("label", "gram").agg(F.sum("n").alias("n"))
