@@ -38,7 +38,7 @@ from tripmill.llm import common
 TRAIN_DOCUMENTS = 20_000
 MODEL_TOKENS = 20_000
 # A token must reach this G statistic (log-likelihood ratio) to have a score.
-_LEAST_G = 30.0
+_LEAST_G = 20.0
 # Weight of the prior, in documents.
 _PRIOR = 10.0
 # Letters of a word that its stem has, by which unseen words are scored.
