@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tripmill.llm import common
 
-SCALE, BITS = 256, 6
+SCALE, BITS = 256, 8
 _LARGEST = 1 << 28
 # Vectors in a block of cells and in a block of queries.
 CELL_BLOCK, QUERY_BLOCK = 8192, 512
