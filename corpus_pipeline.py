@@ -17,17 +17,20 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Toxicity (5): documents that reach the rejection score go. The model learns from the labels of the corpus."""
+    common.small_batches(spark)
     model = toxicity.train(docs, common.read_table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).filter(F.col("toxic_score") < toxicity.REJECT_AT).select(COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join (2): one document of each group of equal or similar ones stays."""
+    common.small_batches(spark)
     return jaccard.keep_first(docs).select(COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secret scans (3): every span found is replaced by a mark; no document goes."""
+    common.small_batches(spark)
     redacted = secrets.redact(docs, secrets.train(docs))
     return redacted.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 

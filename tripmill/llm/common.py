@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -11,13 +13,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Text handed to a Python worker at a time; with its objects a worker then stays within some 300 MB.
+BATCH_BYTES = 16 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's limit on Arrow batches, which by default suits larger executors."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @functools.cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="llm-")
+    folder = tempfile.mkdtemp(prefix="llm-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:

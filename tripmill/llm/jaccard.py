@@ -305,7 +305,8 @@ def verified(docs: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
     sizes = groups.groupBy("root").agg(F.count("*").alias("size"))
     members = common.stage(groups.join(sizes, "root").select("rep", F.col("root").alias("group"), "size"), "candidates")
     texts = docs.select(digest().alias("rep"), common.text_or_empty().alias("text"))
-    texts = texts.join(members, "rep").groupBy("rep").agg(*(F.first(c).alias(c) for c in ("group", "size", "text")))
+    # The same plan at every size: candidates grow with the corpus, so they are never broadcast.
+    texts = texts.join(members.hint("merge"), "rep").groupBy("rep").agg(*(F.first(c).alias(c) for c in ("group", "size", "text")))
     sets = texts.mapInPandas(shingle, "rep binary, group binary, size long, shingles binary")
     cells = _cells(sets, "group").select("cell", "own", "rep", "shingles")
     dealt = cells.repartition("cell").sortWithinPartitions("cell")
@@ -339,9 +340,8 @@ def links_between(left: list, right: list, threshold: float):
     return common_ >= threshold * union - 1e-6
 
 
-def join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """The documents with class_id, class_key, copies (rows of equal text) and n_links (other texts that are similar)."""
-    docs = docs.drop("class_id", "class_key", "copies", "n_links")
+def _related(docs: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """Staged (rep, class_key, class_id, first_rep, copies, n_links) of all texts that have copies or links."""
     sketched = common.stage(sketches(docs), "sketches")
     groups = components(candidate_edges(sketched, threshold, tolerance), "candidate")
     found = common.stage(verified(docs, groups, threshold), "verified")
@@ -351,21 +351,40 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLER
     texts = docs.groupBy(digest().alias("rep")).agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies"))
     named = texts.join(classes, "rep", "left").join(links, "rep", "left").filter("copies > 1 OR root IS NOT NULL")
     named = common.stage(named.withColumn("class_key", F.coalesce("root", "rep")).drop("root"), "named")
-    ids = named.groupBy("class_key").agg(F.min("least_id").alias("class_id"))
-    table = named.join(ids, "class_key").drop("least_id").withColumn("salt", common.salts(_SALTS))
-    keyed = docs.withColumn("rep", digest()).withColumn("salt", common.salt_of("doc_id", salts=_SALTS))
-    return keyed.join(table, ["rep", "salt"], "left").select(
-        *[keyed[c] for c in docs.columns],
-        F.when(F.col("class_key").isNull(), keyed["doc_id"]).otherwise(F.col("class_id")).alias("class_id"),
-        F.col("class_key"),
-        F.coalesce("copies", F.lit(1)).alias("copies"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+    first = F.min(F.struct(F.col("least_id").isNull(), F.col("least_id").alias("id"), F.col("rep").alias("rep")))
+    firsts = named.groupBy("class_key").agg(first.alias("first"))
+    firsts = firsts.select("class_key", F.col("first.id").alias("class_id"), F.col("first.rep").alias("first_rep"))
+    return common.stage(named.join(firsts, "class_key").drop("least_id"), "related")
+
+
+def _with_classes(docs: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """Documents with rep, _salt and what ``_related`` knows of their text, joined by text and salt."""
+    added = ["rep", "_salt", "class_id", "class_key", "first_rep", "copies", "n_links"]
+    docs = docs.drop(*added)
+    table = _related(docs, threshold, tolerance).withColumn("_salt", common.salts(_SALTS))
+    keyed = docs.withColumn("rep", digest()).withColumn("_salt", common.salt_of("doc_id", salts=_SALTS))
+    return keyed.join(table, ["rep", "_salt"], "left")
+
+
+def join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """The documents with class_id, class_key, copies (rows of equal text) and n_links (other texts that are similar)."""
+    alone = F.col("class_key").isNull()
+    return (
+        _with_classes(docs, threshold, tolerance)
+        .withColumn("class_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")))
+        .withColumn("copies", F.coalesce("copies", F.lit(1)))
+        .withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+        .drop("rep", "_salt", "first_rep")
     )
 
 
-def keep_first(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One document of each class, the one of the smallest doc_id; documents without relatives all stay."""
-    joined = join(docs, threshold)
-    alone = joined.filter("class_key IS NULL")
-    first = joined.filter("class_key IS NOT NULL AND doc_id <=> class_id").dropDuplicates(["class_key"])
-    return alone.unionByName(first).select(docs.columns)
+def keep_first(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """One document of each class, the one of the smallest doc_id; documents without relatives all stay.
+
+    Rows equal in doc_id and text share the text and salt that the join has dealt them by, so keeping one
+    of them takes no further shuffle.
+    """
+    joined = _with_classes(docs, threshold, tolerance)
+    first = (F.col("rep") == F.col("first_rep")) & F.col("doc_id").eqNullSafe(F.col("class_id"))
+    kept = joined.filter(F.col("class_key").isNull() | first).dropDuplicates(["rep", "_salt"])
+    return kept.select([c for c in docs.columns if c in kept.columns])

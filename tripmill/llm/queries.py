@@ -173,11 +173,13 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    common.small_batches(spark)
     docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.join(docs).select("doc_id", "class_id", "copies", "n_links")
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    common.small_batches(spark)
     docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.scan(docs, secrets.train(docs))
     spans = F.col("found_spans")
@@ -200,6 +202,7 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    common.small_batches(spark)
     docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, common.read_table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select(
