@@ -241,7 +241,7 @@ def candidate_edges(sketched: DataFrame, threshold: float, tolerance: float) ->
     full = banded.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     members = banded.join(full, "key").join(sketched, "rep")
     cells = _cells(members, "key").select("cell", "own", "band", "rep", "bands", "sketch")
-    dealt = cells.repartition("cell").sortWithinPartitions("cell")
+    dealt = cells.repartition("cell").sortWithinPartitions("cell", "rep")
     return dealt.mapInPandas(prune, "a binary, b binary").distinct()
 
 
@@ -309,7 +309,7 @@ def verified(docs: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
     texts = texts.join(members.hint("merge"), "rep").groupBy("rep").agg(*(F.first(c).alias(c) for c in ("group", "size", "text")))
     sets = texts.mapInPandas(shingle, "rep binary, group binary, size long, shingles binary")
     cells = _cells(sets, "group").select("cell", "own", "rep", "shingles")
-    dealt = cells.repartition("cell").sortWithinPartitions("cell")
+    dealt = cells.repartition("cell").sortWithinPartitions("cell", "rep")
     return dealt.mapInPandas(verify, "rep binary, root binary, n_links long")
 
 
