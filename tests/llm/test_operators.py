@@ -144,6 +144,35 @@ def test_spans_and_redaction(detector, documents):
     assert secrets.redact(documents((7, text)), detector).first()["text"].count("[secret]") == 4
 
 
+def test_secrets_inside_longer_runs(detector):
+    dice = random.Random(5)
+    path = "several/sleeping/animals/carrying/important/documents/quick/brown/"
+    kinds = string.ascii_letters + string.digits
+    made = ["".join(dice.choices(kinds, k=k)) for k in (24, 40) for _ in range(50)]
+    made += ["".join(dice.choices(string.ascii_letters, k=24)) for _ in range(50)]  # no digit
+
+    def covered(text, secret):
+        at = text.index(secret)
+        return sum(max(0, min(b, at + len(secret)) - max(a, at)) for a, b, _ in detector.spans(text)) > 0.75 * len(secret)
+
+    assert all(covered(x, x) for x in made)
+    assert sum(covered(path + x, x) for x in made) > 145
+    assert sum(covered(path + x + "/" + path, x) for x in made) > 145
+    # Only what a rule covers is left out of a run.
+    assert all(covered(f"AKIA{'A1' * 8}/{x}", x) for x in made)
+    assert all(covered(f"{x}/token={'ab' * 5}", x) for x in made)
+    # A path beside a secret stays.
+    spans = detector.spans(path + "q8Zr2LxV0pTn7KdW4sYb1MhC")
+    assert spans == [(len(path), len(path) + 24, "random")]
+
+
+def test_ordinary_runs_are_no_secrets(detector):
+    path = "several/sleeping/animals/carrying/important/documents"
+    ordinary = [path, path.upper(), path.replace("/", "_").upper(), path.replace("/", "+"), f"{path}/2024-01-17"]
+    for text in [*ordinary, "=" * 40, "-" * 30, "_" * 25, "+-----------+----------+", "x" * 30, "A" * 24]:
+        assert detector.spans(text) == []
+
+
 # 4 token files
 
 

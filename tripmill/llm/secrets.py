@@ -3,11 +3,14 @@
 Rules find assignments of secrets, access keys and long hexadecimal strings. What they miss is judged by
 two Markov models of order 2 over characters: a string of letters, digits and
 the signs of base 64 is reported as ``random`` if the log-likelihood ratio per character of the model of
-random strings against that of ordinary identifiers is above a threshold, it has 20 characters or more and a
-digit, and it does not overlap a span of a rule.
+random strings against that of ordinary identifiers is above a threshold and it has 20 characters or more.
+Such strings are looked for inside longer runs, too: of a run that does not pass as a whole, the part with the
+largest sum of ratios above the threshold is taken, widened to the next joints if it still passes, then
+the same is done left and right of it. What a rule covers is cut out of a run; the rest is judged.
 
 The models are trained on labelled strings: strings that the rules flag, cut out of their context, are
-random; words outside such spans, alone and put together as identifiers, are ordinary. As the rules know few alphabets, seeded
+random; words outside such spans, alone and put together as identifiers, also in capitals, are ordinary, and so are
+lines of one letter or sign. As the rules know few alphabets, seeded
 random strings over the usual alphabets of keys complete the random side. The training rows are a sample
 of documents by hash, of about ``TRAIN_DOCUMENTS`` documents; scanning covers all rows and whole texts.
 
@@ -22,6 +25,7 @@ import math
 import random
 import re
 import string
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -43,9 +47,11 @@ RULES = {
 }
 KINDS = [*RULES, "random"]
 _ALPHABET = string.ascii_letters + string.digits + "+/_=-"
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+# A secret has so many characters at least.
+LEAST = 20
+_CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+_JOINT = re.compile("[/=_-]")
 _JOINTS = ["_", "-", "/", ""]
-_DIGIT = re.compile("[0-9]")
 _IDENTIFIER = re.compile(r"[A-Za-z]{4,}")
 # Hexadecimal runs shorter than the rule's least length are no matches, so they need not be visited.
 _LONG_HEX = re.compile(r"[0-9a-f]{32,}")
@@ -55,6 +61,8 @@ TRAIN_DOCUMENTS = 2_000
 _MADE, _MADE_LENGTH = 2_000, 40
 # A string needs this log-likelihood ratio per character, in nats.
 THRESHOLD = 2.0
+# Inside a run no character counts for more, so that a date among words is no secret.
+MOST = 6.0
 _SPANS = "array<struct<kind:string,start:int,end:int>>"
 
 
@@ -103,24 +111,64 @@ class Detector:
         self.threshold = threshold
         self.known: dict[str, float] = {}
 
-    def ratio(self, text: str) -> float:
-        """Log-likelihood ratio per character."""
-        total = 0.0
+    def ratios(self, text: str) -> list[float]:
+        """Log-likelihood ratio of each character."""
+        out = []
         for gram in grams(text):
             value = self.known.get(gram)
             if value is None:
                 a, b = self.models
                 value = self.known[gram] = a.log_probability(gram) - b.log_probability(gram)
-            total += value
-        return total / max(1, len(text))
+            out.append(value)
+        return out
+
+    def ratio(self, text: str) -> float:
+        """Log-likelihood ratio per character."""
+        return sum(self.ratios(text)) / max(1, len(text))
+
+    def random_parts(self, text: str) -> list[tuple[int, int]]:
+        """Parts of ``LEAST`` characters or more whose mean ratio is above the threshold, without overlap."""
+        import numpy as np
+
+        ratios = np.array(self.ratios(text))
+        if len(text) >= LEAST and ratios.mean() > self.threshold:
+            return [(0, len(text))]
+        sums = np.concatenate([[0.0], np.cumsum(np.minimum(ratios, MOST) - self.threshold)])
+        joints = [m.start() for m in _JOINT.finditer(text)]
+        found, left = [], [(0, len(text))]
+        while left:
+            low, high = left.pop()
+            if high - low < LEAST:
+                continue
+            own = sums[low : high + 1]
+            gains = np.maximum.accumulate(own[::-1])[::-1][LEAST:] - own[:-LEAST]
+            start = int(gains.argmax())
+            if gains[start] <= 0:
+                continue
+            end = low + start + LEAST + int(own[start + LEAST :].argmax())
+            start += low
+            before, after = bisect_left(joints, start), bisect_left(joints, end)
+            first = max(low, joints[before - 1] + 1 if before else 0)
+            last = min(high, joints[after] if after < len(joints) else high)
+            wider = [(first, last), (first, end), (start, last), (start, end)]
+            start, end = next((a, b) for a, b in wider if sums[b] > sums[a])
+            found.append((start, end))
+            left += [(low, start), (end, high)]
+        return sorted(found)
 
     def spans(self, text: str) -> list[tuple[int, int, str]]:
         """All spans, sorted by start, then by kind as listed."""
         found = rule_spans(text)
-        taken = sorted((a, b) for a, b, _ in found)
+        taken, turn = merged((a, b) for a, b, _ in found), 0
         for m in _CANDIDATE.finditer(text):
-            if _DIGIT.search(m[0]) and self.ratio(m[0]) > self.threshold and not any(a < m.end() and m.start() < b for a, b in taken):
-                found.append((m.start(), m.end(), "random"))
+            while turn < len(taken) and taken[turn][1] <= m.start():
+                turn += 1
+            at, upto = m.start(), turn
+            while at < m.end():
+                cut = taken[upto] if upto < len(taken) and taken[upto][0] < m.end() else (m.end(), m.end())
+                if cut[0] - at >= LEAST:
+                    found += [(at + a, at + b, "random") for a, b in self.random_parts(text[at : cut[0]])]
+                at, upto = cut[1], upto + 1
         return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
@@ -176,6 +224,12 @@ def train(docs: DataFrame, threshold: float = THRESHOLD, train_documents: int =
     for row in summed.collect():  # at most 2 * 69 ** 3 rows, whatever the input
         tables[row["label"]][row["gram"]] = row["n"]
     ordinary, flagged = tables
+    for gram, n in list(ordinary.items()):
+        for other in {gram.upper(), gram.replace("_", "+"), gram.replace("_", "=")} - {gram}:
+            ordinary[other] = ordinary.get(other, 0) + n
+    for sign in string.ascii_letters + "+/_=-":
+        for g in grams(sign * _MADE_LENGTH):
+            ordinary[g] = ordinary.get(g, 0) + 1
     for text in made_strings():
         for g in grams(text):
             flagged[g] = flagged.get(g, 0) + 1
