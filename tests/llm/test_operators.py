@@ -416,6 +416,22 @@ def test_boilerplate_lines_deplete_documents(documents):
     assert got[0]["removed_words"] == 70
 
 
+def test_boilerplate_of_a_hot_host(spark):
+    """21 documents are boilerplate on a host where they are far below the share, unless the line is a phrase."""
+    word = lambda i: F.translate(F.concat(F.lit("w"), F.col("id"), F.lit("x"), i), string.digits, "abcdefghij")
+    own = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(59)), word))
+    notice = " ".join(f"notice{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200))
+    in_21, in_20, phrase = F.col("id") < 21, F.col("id").between(100, 119), F.col("id").between(200, 220)
+    figures = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(30)), lambda i: 100 + (F.col("id") * i) % 900), ", ")
+    added = F.when(in_21, notice).when(in_20, notice[::-1]).when(phrase, "Thank you all.").when(F.col("id") > 50_950, figures).otherwise("")
+    docs = spark.range(51_000).select(F.col("id").alias("doc_id"), F.lit("hot").alias("source"), F.concat(own, F.lit("\n"), added).alias("text"))
+    got = quality.judge(docs).filter("removed_words > 0").select("doc_id", "removed_words", "kept").collect()
+    assert sorted(map(tuple, got)) == [(k, 200, False) for k in range(21)]
+    # On a host of 21 documents the phrase goes as well.
+    few = {r["removed_words"] for r in quality.judge(docs.filter(phrase)).collect()}
+    assert few == {3}
+
+
 def test_quality_plan_has_no_python(documents):
     plan = quality.judge(documents((1, "a b c")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan

@@ -1,7 +1,9 @@
 """Quality rules: features of a text, and the frequency of its lines over documents of the same host.
 
-Lines are normalised and hashed; a line is boilerplate on a host if more documents of the host contain
-it than ``max(MIN_DOCS, MAX_SHARE * documents of the host)``. Such lines are removed, and a document
+Lines are normalised and hashed; a line is boilerplate on a host if more than ``MIN_DOCS`` documents of the
+host contain it and it has ``LONG_LINE`` letters or more. Shorter lines may be everyday phrases, and
+rows of figures are alike once digits are 0; they need more than ``MAX_SHARE`` of the documents of the
+host, too. Such lines are removed, and a document
 is rejected if what is left has fewer than ``MIN_WORDS`` words or less than ``MIN_LEFT`` of its words.
 The base rules reject a document of fewer than ``MIN_WORDS`` words or with more than half of its words
 in repeated windows of three.
@@ -23,10 +25,14 @@ from tripmill.llm import common
 
 MIN_WORDS = 50
 MIN_DOCS, MAX_SHARE = 20, 0.002
+# Characters, without digits, blanks and ASCII punctuation, of a normalised line that is no everyday phrase.
+LONG_LINE = 32
 MIN_LEFT = 0.3
 # White space as the rules know it, and the symbols counted.
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
+# Looks at the start of a line only, which costs much less than to count its letters.
+_LONG = f"^(?:[0 \\p{{Punct}}]*+[^0 \\p{{Punct}}]){{{LONG_LINE}}}"
 _WORD, _GAPS = "[^\\x20\\x09-\\x0D]+", "[\\x20\\x09-\\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Salts that spread the lines of one host and hash when they are joined.
@@ -44,7 +50,7 @@ def _without(text: Column, characters: str) -> Column:
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """doc_id, host, the base counts, and (hash, words, first) of each line; ``first`` marks one of equal ones."""
+    """doc_id, host, the base counts, and (hash, words, long, first) of each line; ``first`` marks one of equal ones."""
     text = common.text_or_empty()
     split = docs.select(
         "doc_id",
@@ -87,7 +93,9 @@ def features(docs: DataFrame) -> DataFrame:
 
     def line(x: Column, i: Column) -> Column:
         first = ~x.eqNullSafe(F.get(F.col("lines"), i - 1))
-        return F.struct(F.xxhash64(x).alias("hash"), F.regexp_count(x, F.lit(_WORD)).alias("words"), first.alias("first"))
+        long = x.rlike(_LONG)
+        words = F.regexp_count(x, F.lit(_WORD))
+        return F.struct(F.xxhash64(x).alias("hash"), words.alias("words"), long.alias("long"), first.alias("first"))
 
     return starts.select(
         "doc_id",
@@ -104,10 +112,11 @@ def features(docs: DataFrame) -> DataFrame:
 
 
 def boilerplate(lines: DataFrame, hosts: DataFrame, min_docs: int, max_share: float) -> DataFrame:
-    """(host, hash) of the lines of (row_id, host, hash, first) that too many documents of the host contain."""
-    counted = lines.groupBy("host", "hash").agg(F.count_if("first").alias("n_docs")).filter(F.col("n_docs") > min_docs)
+    """(host, hash) of the lines of (row_id, host, hash, long, first) that too many documents of the host contain."""
+    counts = F.count_if("first").alias("n_docs"), F.bool_or("long").alias("long")
+    counted = lines.groupBy("host", "hash").agg(*counts).filter(F.col("n_docs") > min_docs)
     same = counted["host"].eqNullSafe(hosts["host"])
-    frequent = counted.join(hosts, same).filter(F.col("n_docs") > max_share * F.col("host_docs"))
+    frequent = counted.join(hosts, same).filter(F.col("long") | (F.col("n_docs") > max_share * F.col("host_docs")))
     return frequent.select(counted["host"], "hash")
 
 
