@@ -125,6 +125,23 @@ def test_packing(spark, docs):
     assert got["bin_used"].max() <= queries.BIN_CHARS
 
 
+def test_packing_keeps_near_copies_apart(spark, tmp_path):
+    """Near copies of different sources share no bin, texts without relatives do."""
+    words = [f"word{k}" for k in range(100)]
+    near = [" ".join([*words[:k], "edit", *words[k + 1 :]]) for k in (0, 30, 99)]
+    rows = [(k, text, f"near{k}") for k, text in enumerate([" ".join(words), *near])]
+    rows += [(10 + k, " ".join(f"other{k}x{i}" for i in range(100)), f"alone{k}") for k in range(4)]
+    rows += [(20, None, "null0"), (21, None, "null1")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op6_packing(spark, str(tmp_path)).toPandas()
+    assert len(got) == len(rows)
+    copies = got[got["doc_id"] < 10]
+    assert copies["bin"].nunique() == 4
+    assert copies["cluster"].nunique() == 1
+    assert got[got["doc_id"].between(10, 13)]["bin"].nunique() == 1
+    assert got[got["doc_id"] >= 20]["cluster"].isna().all()
+
+
 def test_pipeline(spark):
     folder = f"{TESTDATA}/sf0.01"
     kept = docs = common.read_table(spark, folder, "documents")

@@ -1,6 +1,7 @@
 """Best-fit packing under conflicts: documents into bins of fixed capacity.
 
-A bin holds at most one document of each source and at most one of each duplicate cluster. Texts longer
+A bin holds at most one document of each source and at most one of each duplicate cluster; clusters are
+given with the items, and are equal texts in ``pack_documents``. Texts longer
 than the capacity are cut into full pieces, each of which fills a bin, and a rest that is packed like a
 short text. Items are dealt at random into blocks of bounded size, and every block is packed by itself:
 items by falling length, bins in the order of what is left in them; the search begins at the first bin

@@ -215,10 +215,14 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    common.small_batches(spark)
     docs = common.read_table(spark, sf_dir, "documents").select(
-        "doc_id", "source", packing.text_cluster().alias("cluster"), F.length("text").alias("length")
+        "doc_id", "source", "text", packing.text_cluster().alias("own"), F.length("text").alias("length")
     )
-    items = packing.number_rows(docs, "items")
+    # Equal and similar texts are a cluster; a text without relatives is one of its own, a null text has none.
+    related = F.coalesce(F.lower(F.hex("class_key")), "own")
+    cluster = F.when(F.col("own").isNotNull(), related).alias("cluster")
+    items = packing.number_rows(jaccard.join(docs).select("doc_id", "source", cluster, "length"), "items")
     # The row number, unlike doc_id, is unique; it is the key that pieces are joined back on.
     placed = common.stage(packing.pack(items, BIN_CHARS), "placed")
     return items.select("row_id", "doc_id", "source", "cluster").join(placed, "row_id").drop("row_id")
