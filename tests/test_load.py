@@ -2,18 +2,20 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import random
 import re
 
 import pytest
 from conftest import PLAIN, dicts
 from pyspark.sql import functions as F
 
-from tripmill import SavedTables, Settings
+from tripmill import SavedTables, Settings, TripTables
 from tripmill import schema as layouts
 from tripmill.__main__ import main
-from tripmill.operators import clean, patterns, quality, zones
+from tripmill.operators import additive, clean, patterns, quality, zones
 from tripmill.plans import load
 from tripmill.plans.tables import ROLLUPS
+from tripmill.sources import store
 from tripmill.sources.trips import open_trips, read_trips
 from tripmill.streaming.incremental import load_new_files
 
@@ -262,3 +264,149 @@ def test_command_line(spark, tmp_path, month_file, capsys):
     main([*common, "new", "--folder", month_file.folder, *arguments])
     main([*common, "report", "load_table_counts", "--tables", new, "--json"])
     assert '{"table_name":"fact_trip","row_count":2}' in capsys.readouterr().out
+
+
+def tear(path: str) -> None:
+    """Spoil the middle of a file's data; its footer stays as it is."""
+    with open(path, "r+b") as file:
+        content = file.read()
+        middle = len(content) // 3
+        file.seek(middle)
+        file.write(bytes(255 - b for b in content[middle : middle + len(content) // 4]))
+
+
+def large_month(month_file, month, groups=4):
+    """A month of several row groups, with values that do not compress to nothing."""
+    import pyarrow.parquet as pq
+
+    rows = [{"fare_amount": 5 + k * 0.37, "trip_distance": 1 + k * 0.013, "total_amount": 9 + k * 0.71} for k in range(1200)]
+    path = month_file(month, *rows)
+    pq.write_table(pq.read_table(path), path, row_group_size=len(rows) // groups)
+    return path
+
+
+@pytest.mark.parametrize("incremental", [False, True])
+def test_file_torn_in_its_data(spark, locations, tmp_path, month_file, incremental):
+    large_month(month_file, 1)
+    torn = large_month(month_file, 2)
+    cut = month_file(3, {}, {})
+    tear(torn)
+    with open(cut, "r+b") as file:
+        file.truncate(300)
+    month_file(4, {})
+    with pytest.raises(Exception):
+        spark.read.parquet(torn).write.format("noop").mode("overwrite").save()
+    if incremental:
+        t = stream(spark, locations, tmp_path, month_file.folder)
+    else:
+        t = load.load(spark, open_trips(spark, month_file.folder), locations, str(tmp_path / "tables"), SETTINGS)
+    audit = {r["source_file"][-10:-8]: r for r in dicts(t.load_audit)}
+    assert {k: r["status"] for k, r in audit.items()} == {"01": "loaded", "02": "rejected", "03": "rejected", "04": "loaded"}
+    # The footer says how many trips a torn file should have had.
+    assert (audit["02"]["original_trips"], audit["02"]["loaded_trips"], audit["03"]["original_trips"]) == (1200, 0, None)
+    assert {r["source_period"]: r["count"] for r in dicts(t.fact_trip.groupBy("source_period").count())} == {
+        "2025-01": 1200,
+        "2025-04": 1,
+    }
+    # A month that arrives again, whole, under another name is loaded.
+    if incremental:
+        month_file(5, {})
+        assert stream(spark, locations, tmp_path, month_file.folder).fact_trip.count() == 1202
+
+
+def scanned_rows(spark, action) -> int:
+    """Rows read by all tasks of all jobs that an action starts."""
+    tracker = spark.sparkContext.statusTracker()
+    group = "scanned-rows"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        action()
+        jobs = [j for j in tracker.getJobIdsForGroup(group)]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    store = spark.sparkContext._jsc.sc().statusStore()
+    stages = {s for j in jobs for s in tracker.getJobInfo(j).stageIds}
+    total = 0
+    for stage in stages:
+        attempts = store.stageData(stage, False, spark.sparkContext._gateway.jvm.java.util.ArrayList(), False, spark.sparkContext._gateway.new_array(spark.sparkContext._gateway.jvm.double, 0))
+        for k in range(attempts.size()):
+            total += attempts.apply(k).inputRecords()
+    return total
+
+
+def test_raw_files_are_read_once(spark, locations, tmp_path, month_file):
+    """All else that a load reads is small: here no trip passes the filters."""
+    rows = [{"fare_amount": 600.0 + k} for k in range(5000)]
+    month_file(1, *rows)
+    month_file(2, *rows)
+    found = open_trips(spark, month_file.folder)
+    target = str(tmp_path / "tables")
+    load.write_dimensions(spark, locations, target)
+    read = scanned_rows(spark, lambda: load.load_trips(spark, found, target, SETTINGS, "a-1"))
+    assert 10_000 <= read < 10_500
+    assert [r["filtered_trips"] for r in dicts(store.read_table(spark, target, "load_audit"))] == [5000, 5000]
+
+
+def test_many_files_open_in_one_job(spark, tmp_path, month_file):
+    first = month_file(1, {})
+    folder = tmp_path / "many"
+    folder.mkdir()
+    import shutil
+
+    for k in range(3000):
+        shutil.copy(first, folder / f"part-{k:05d}.parquet")
+    (folder / "part-99999.parquet").write_text("no parquet")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("open", "open")
+    try:
+        found = open_trips(spark, str(folder))
+        jobs = len(tracker.getJobIdsForGroup("open"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 4
+    assert len(found.unreadable) == 1
+    assert found.raw.count() == 3000 == found.files.agg(F.sum("rows")).first()[0]
+
+
+def test_rollups_from_states_equal_a_rebuild(spark, locations, tmp_path, month_file):
+    dice = random.Random(4)
+
+    def rows(n):
+        return [
+            {
+                "fare_amount": round(dice.uniform(3, 90), 2), "trip_distance": round(dice.uniform(0.2, 20), 2),
+                "tip_amount": dice.choice([0.0, 1.37, 2.2]), "total_amount": round(dice.uniform(5, 99), 2),
+                "VendorID": dice.choice([1, 2, 6]), "payment_type": dice.choice([1, 2]),
+                "PULocationID": dice.choice([1, 2, 3, 4]), "DOLocationID": dice.choice([1, 2]),
+                "store_and_fwd_flag": dice.choice(["Y", "N", None]), "extra": None,
+            }
+            for _ in range(n)
+        ]
+
+    target = str(tmp_path / "tables")
+    month_file(1, *rows(300))
+    load.load(spark, open_trips(spark, month_file.folder), locations, target, SETTINGS)
+    for month in (2, 3):
+        month_file(month, *rows(200))
+        load_new_files(spark, month_file.folder, locations, target, str(tmp_path / "seen"), SETTINGS).awaitTermination()
+    load.merge_rollups(spark, target, SETTINGS)
+    stored = SavedTables(spark, target, settings=SETTINGS)
+    built = TripTables(spark, locations, fact=stored.fact_trip, settings=SETTINGS)
+    for name in [*ROLLUPS, "summary_statistics"]:
+        mine, theirs = getattr(stored, name), getattr(built, name)
+        assert mine.schema.simpleString() == theirs.schema.simpleString()
+        assert sorted(map(repr, mine.collect())) == sorted(map(repr, theirs.collect())), name
+    assert stored.mv_vendor_performance.agg(F.sum("trip_count")).first()[0] == 700
+    load.refresh_rollups(spark, target, SETTINGS)
+    again = SavedTables(spark, target, settings=SETTINGS)
+    assert again.mv_vendor_performance.agg(F.sum("trip_count")).first()[0] == 700
+
+
+def test_states_read_new_partitions_only(spark, locations, tmp_path, month_file):
+    month_file(1, {}, {})
+    target = str(tmp_path / "tables")
+    load.load(spark, open_trips(spark, month_file.folder), locations, target, SETTINGS)
+    trips = store.read_table(spark, target, "fact_trip").filter(F.col("load_batch") == "other")
+    for state in additive.states(trips).values():
+        plan = state._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^\]]*load_batch[^\]]*= other", plan)

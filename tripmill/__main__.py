@@ -84,8 +84,7 @@ def main(argv: list[str] | None = None) -> None:
     settings = Settings(home=args.home)
     if args.action == "load":
         zones = read_locations(spark, args.zones)
-        found = open_trips(spark, *args.trips)
-        tables = load.load(spark, found.raw, zones, args.tables, settings, found.unreadable)
+        tables = load.load(spark, open_trips(spark, *args.trips), zones, args.tables, settings)
         _print(tables.load_audit.orderBy("source_file"), args.rows, False)
         clean.audit_totals(tables.load_audit).show()
         catalog.run("load_table_counts", tables).show(truncate=False)
@@ -93,7 +92,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.action == "new":
         zones = read_locations(spark, args.zones)
         load_new_files(spark, args.folder, zones, args.tables, args.checkpoint, settings).awaitTermination()
-        load.refresh_rollups(spark, args.tables, settings)
+        load.merge_rollups(spark, args.tables, settings)
     else:
         if args.action == "report":
             tables = SavedTables(spark, args.tables, settings=settings)

@@ -101,10 +101,53 @@ def load_audit(raw: DataFrame, ids: DataFrame) -> DataFrame:
             count_where(valid & is_incomplete()).alias("_incomplete"),
         )
     )
-    loaded = F.when(F.col("_incomplete") == 0, F.col("_valid")).otherwise(F.lit(0))
-    status = F.when(F.col("_incomplete") == 0, F.lit("loaded")).otherwise(F.lit("rejected"))
+    return _audit(counted, F.col("_incomplete") == 0)
+
+
+def with_file_ends(raw: DataFrame, files: DataFrame) -> DataFrame:
+    """Trips of the listed files, flagged ``is_file_end`` where a trip is the last one of a row group.
+
+    The list has a row of a few dozen bytes per file and is broadcast up to ``MOST_FILES`` files and ten times as many
+    row groups. Beyond, the join is a shuffle by path.
+    """
+    known = files.select(path_key().alias("_path"), "ends")
+    size = files.agg(F.count("*"), F.sum(F.size("ends"))).first()
+    if size[0] <= MOST_FILES and (size[1] or 0) <= 10 * MOST_FILES:
+        known = F.broadcast(known)
+    marked = raw.join(known, path_key() == F.col("_path")).drop("_path")
+    return marked.withColumn("is_file_end", F.array_contains("ends", F.col("source_row"))).drop("ends")
+
+
+def candidates(raw: DataFrame, files: DataFrame, ids: DataFrame) -> DataFrame:
+    """Raw columns and ``is_valid`` of the trips that pass the filters and of the last trip of every row group."""
+    marked = with_home_ends(with_file_ends(raw, files), ids)
+    valid = F.coalesce(is_plausible() & F.col("home_pickup") & F.col("home_dropoff"), F.lit(False))
+    kept = marked.withColumn("is_valid", valid).filter(F.col("is_valid") | F.col("is_file_end"))
+    return kept.drop("home_pickup", "home_dropoff")
+
+
+def audit_candidates(files: DataFrame, found: DataFrame) -> DataFrame:
+    """The load audit from listed files and the staged candidates of one scan over them.
+
+    A file is rejected as a whole when a trip that passes the filters lacks a required value, or when the
+    last trip of one of its row groups was not seen, as then the file is torn.
+    """
+    counted = found.groupBy("source_file").agg(
+        count_where(F.col("is_valid")).alias("_valid"),
+        count_where(F.col("is_valid") & is_incomplete()).alias("_incomplete"),
+        count_where(F.col("is_file_end")).alias("_ends"),
+    )
+    seen = files.join(counted, "source_file", "left").na.fill(0, ["_valid", "_incomplete", "_ends"])
+    sound = (F.col("_incomplete") == 0) & (F.col("_ends") == F.size("ends"))
+    return _audit(seen.withColumnRenamed("rows", "original_trips"), sound)
+
+
+def _audit(counted: DataFrame, sound: Column) -> DataFrame:
     result = counted.select(
-        "source_file", "original_trips", loaded.alias("loaded_trips"), status.alias("status")
+        "source_file",
+        "original_trips",
+        F.when(sound, F.col("_valid")).otherwise(F.lit(0)).alias("loaded_trips"),
+        F.when(sound, F.lit("loaded")).otherwise(F.lit("rejected")).alias("status"),
     )
     filtered = F.when(F.col("status") == "loaded", F.col("original_trips") - F.col("loaded_trips"))
     return result.withColumn("filtered_trips", filtered).withColumn(

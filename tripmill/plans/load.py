@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.config import Settings
-from tripmill.operators import clean
-from tripmill.plans.tables import ROLLUPS, SavedTables, TripTables
+from tripmill.operators import additive, clean
+from tripmill.plans.tables import SavedTables
 from tripmill.sources import dimensions, store
+from tripmill.sources.trips import TripFiles, files_of
 
 BULK = "bulk"
 _JOBS_AT_ONCE = 4
@@ -19,7 +20,7 @@ _JOBS_AT_ONCE = 4
 
 def load(
     spark: SparkSession,
-    raw: DataFrame,
+    raw: DataFrame | TripFiles,
     locations: DataFrame,
     path: str,
     settings: Settings | None = None,
@@ -27,13 +28,14 @@ def load(
 ) -> SavedTables:
     """Load everything from scratch under ``path``, replacing what is there.
 
-    ``unreadable`` names files that could not be opened; they are listed in the audit as rejected.
+    ``raw`` is what ``open_trips`` gives, and then files that are broken or torn are listed in the audit as
+    rejected and the others are loaded; or it is a table of trips, and ``unreadable`` names files to list.
     """
     settings = settings or Settings()
     write_dimensions(spark, locations, path)
     load_trips(spark, raw, path, settings, BULK, unreadable=unreadable)
-    refresh_rollups(spark, path, settings)
-    return SavedTables(spark, path, raw, settings)
+    merge_rollups(spark, path, settings)
+    return SavedTables(spark, path, raw.raw if isinstance(raw, TripFiles) else raw, settings)
 
 
 def write_dimensions(spark: SparkSession, locations: DataFrame, path: str) -> None:
@@ -48,41 +50,51 @@ def write_dimensions(spark: SparkSession, locations: DataFrame, path: str) -> No
 
 def load_trips(
     spark: SparkSession,
-    raw: DataFrame,
+    raw: DataFrame | TripFiles,
     path: str,
     settings: Settings,
     batch: str,
     unreadable: Sequence[str] = (),
 ) -> None:
-    """Decide which files of one batch to accept, write their trips, then list the files as loaded.
+    """Scan the files of one batch once, decide which ones to accept, write their trips, then list the files.
 
-    The decision is staged first, and the fact table is built from the staged copy. The audit comes last:
+    The scan stages the trips that pass the filters, and the last trip of every row group, which shows that the
+    file could be read to its end. The audit and the fact table are built from the staged trips. The audit comes last:
     trips of a batch it does not list are not part of the table, so a load that breaks off in between
     leaves nothing to be seen, and its files are loaded by the next one. Files that an earlier batch lists
     are left alone, and file numbers go on from the highest one listed.
     """
     ids = clean.home_ids(store.read_table(spark, path, "dim_location"), settings.home)
-    everything, first = batch == BULK, 0
+    everything, first, pending = batch == BULK, 0, f"{path}/load_pending"
+    trips, files = (raw.raw, raw.files) if isinstance(raw, TripFiles) else (raw, files_of(raw))
+    if isinstance(raw, TripFiles):
+        unreadable = [*raw.unreadable, *unreadable]
     earlier = None if everything else loaded_files(spark, path)
     if earlier is not None:
         earlier = earlier.filter(F.col("load_batch") != batch)
-        raw = clean.without_files(raw, earlier)
+        files = clean.without_files(files, earlier)
         last = earlier.agg(F.max("file_no")).first()[0]
         first = 0 if last is None else last + 1
-    audit = clean.load_audit(raw, ids)
+    files = store.stage(files, pending, f"{batch}-files")
+    if files.groupBy(clean.path_key()).count().filter("count > 1").limit(1).count():
+        raise ValueError("two source files share the hash of their path; load them in separate batches")
+    found = store.stage(clean.candidates(trips, files, ids), pending, f"{batch}-trips")
+
+    audit = clean.audit_candidates(files, found)
     if unreadable:
         audit = audit.unionByName(_rejected(spark, unreadable, earlier), allowMissingColumns=True)
     audit = audit.join(clean.number_files(audit, first), "source_file", "left")
-    staged = store.stage(audit, f"{path}/load_pending", batch)
-    if staged.groupBy(clean.path_key()).count().filter("count > 1").limit(1).count():
-        raise ValueError("two source files share the hash of their path; load them in separate batches")
-
-    trips = clean.accepted(clean.clean_trips(raw, ids), staged.filter(F.col("file_no").isNotNull()))
+    staged = store.stage(audit, pending, batch)
+    valid = found.filter(F.col("is_valid")).drop("is_valid", "is_file_end")
+    accepted = clean.accepted(valid, staged.filter(F.col("file_no").isNotNull()))
     if everything:
         # A table is never seen with the new trips and the old audit, or the other way round.
         store.write_audit(staged.limit(0), path, batch, True)
-    store.write_fact(clean.build_fact(trips), path, batch, everything)
+    store.write_fact(clean.build_fact(accepted), path, batch, everything)
+    write_states(spark, path, batch, everything)
     store.write_audit(staged, path, batch, everything)
+    for name in (f"{batch}-trips", f"{batch}-files", batch):
+        store.delete(spark, f"{pending}/{name}")
 
 
 def _rejected(spark: SparkSession, files: Sequence[str], earlier: DataFrame | None) -> DataFrame:
@@ -102,12 +114,34 @@ def loaded_files(spark: SparkSession, path: str) -> DataFrame | None:
     return audit
 
 
+def write_states(spark: SparkSession, path: str, batch: str, replace_all: bool) -> None:
+    """Sums of one batch for the rollups, from that batch's partitions of the fact table alone."""
+    trips = store.read_table(spark, path, "fact_trip").filter(F.col("load_batch") == batch)
+    found = additive.states(trips)
+    with ThreadPoolExecutor(_JOBS_AT_ONCE) as pool:
+        written = [pool.submit(store.write_state, df, path, name, batch, replace_all) for name, df in found.items()]
+        for job in written:
+            job.result()
+
+
+def merge_rollups(spark: SparkSession, path: str, settings: Settings | None = None) -> None:
+    """Write the rollups and the summary from the states of all complete batches; the fact table is not read."""
+    settings = settings or Settings()
+    listed = [r["load_batch"] for r in store.read_table(spark, path, "load_audit").select("load_batch").distinct().collect()]
+    states = {n: store.read_state(spark, path, n).filter(F.col("load_batch").isin(listed)) for n in additive.STATES}
+    routes = store.stage(additive.merged_routes(states.pop(additive.ROUTES)), path, "route_fares")
+    _write_together(additive.merge(routes, states, settings.min_od_trips), path)
+
+
 def refresh_rollups(spark: SparkSession, path: str, settings: Settings | None = None) -> None:
-    """Rebuild the rollups and the summary from the stored fact table."""
-    fact = SavedTables(spark, path, settings=settings).fact_trip
-    tables = TripTables(spark, store.read_table(spark, path, "dim_location"), fact=fact, settings=settings)
-    tables.route_fares = store.stage(tables.route_fares, path, "route_fares")
-    _write_together({name: getattr(tables, name) for name in [*ROLLUPS, "summary_statistics"]}, path)
+    """Rebuild the states of all complete batches from the stored fact table, then the rollups and the summary.
+
+    Loads keep the states up to date and need ``merge_rollups`` only; this is for tables whose states are lost.
+    """
+    listed = store.read_table(spark, path, "load_audit").select("load_batch").distinct().collect()
+    for row in listed:
+        write_states(spark, path, row["load_batch"], False)
+    merge_rollups(spark, path, settings)
 
 
 def _write_together(tables: dict[str, DataFrame], path: str) -> None:

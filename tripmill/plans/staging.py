@@ -18,7 +18,7 @@ from tripmill.operators import clean
 from tripmill.plans import load
 from tripmill.plans.tables import SavedTables, StagedTables, TripTables
 from tripmill.sources import commerce, store
-from tripmill.sources.trips import list_files, read_trips
+from tripmill.sources.trips import list_files, open_trips
 from tripmill.streaming.incremental import load_new_files
 
 _lock = threading.RLock()
@@ -126,7 +126,7 @@ def load_batch(spark: SparkSession, folder: str, settings: Settings) -> DataFram
     source = commerce.CommerceTables.read(spark, folder)
     locations = store.stage(commerce.locations(source), work, "locations")
     write_trip_files(commerce.raw_trips(source), f"{work}/raw")
-    load.load(spark, read_trips(spark, f"{work}/raw"), locations, f"{work}/tables", settings)
+    load.load(spark, open_trips(spark, f"{work}/raw"), locations, f"{work}/tables", settings)
     return _loaded(spark, f"{work}/tables", settings)
 
 

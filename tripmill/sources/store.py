@@ -36,6 +36,12 @@ def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Hadoop finds it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage_fact(df: DataFrame, folder: str) -> DataFrame:
     """Stage a fact table by month of pickup, as a load stores it."""
     rows = df.hint("rebalance", F.col("pickup_month"))
@@ -57,6 +63,22 @@ def write_audit(df: DataFrame, path: str, batch: str, replace_all: bool) -> None
     _write_partitioned(df.withColumn("load_batch", F.lit(batch)), f"{path}/load_audit", ["load_batch"], replace_all)
 
 
+def write_state(df: DataFrame, path: str, name: str, batch: str, replace_all: bool) -> None:
+    """Keep one batch's state for a rollup, replacing what that batch had before, or everything."""
+    folder = f"{path}/rollup_state/{name}"
+    if replace_all:
+        delete(df.sparkSession, folder)
+    write_table(df, folder, f"load_batch={batch}")
+
+
+def read_state(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """The states of all batches, complete or not, with their ``load_batch``."""
+    folder = f"{path}/rollup_state/{name}"
+    columns = [f for f in spark.read.parquet(folder).schema if f.name != "load_batch"]
+    # The batch's name is text, whatever it looks like.
+    return spark.read.schema(StructType([*columns, StructField("load_batch", StringType())])).parquet(folder)
+
+
 def _write_partitioned(df: DataFrame, path: str, partitions: list[str], replace_all: bool) -> None:
     mode = "static" if replace_all else "dynamic"
     (

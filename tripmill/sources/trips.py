@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 import json
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, StructType
+from pyspark.sql.types import ArrayType, IntegralType, LongType, StringType, StructField, StructType
 
 from tripmill import schema
+from tripmill.sources import footers
 
-_FOOTERS_AT_ONCE = 16
-# What Spark says about a file that is no Parquet, or an empty one.
-_NO_PARQUET = ("CANNOT_READ_FILE_FOOTER", "UNABLE_TO_INFER_SCHEMA", "is not a Parquet file", "Could not read footer")
+# A file's path, its number of rows, and the position of the last row of each row group.
+FILES = StructType(
+    [StructField("source_file", StringType()), StructField("rows", LongType()), StructField("ends", ArrayType(LongType()))]
+)
 
 
 def conform(df: DataFrame) -> DataFrame:
@@ -45,9 +47,15 @@ def conform(df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class TripFiles:
-    """Raw trips of all files that can be read, and the paths of those that cannot."""
+    """Raw trips of all files that can be read, what their footers say, and the paths of those that cannot.
+
+    ``files`` has a row per file: its path, its number of trips, and the positions of the last trip of each
+    of its row groups. A file that turns out to be torn while it is read stops there, without an error; the last
+    trips of its row groups are then not all seen.
+    """
 
     raw: DataFrame
+    files: DataFrame
     unreadable: list[str]
 
 
@@ -57,38 +65,16 @@ def list_files(spark: SparkSession, *paths: str) -> list[str]:
 
 
 def open_trips(spark: SparkSession, *paths: str) -> TripFiles:
-    """Look at the footer of every file, and read files of the same layout together.
+    """Look at the footer of every file, in one job, and read files of the same layout together.
 
     Each file keeps its own column types, so a column that only later files have, or that changes its
     type, loses no values. A file whose footer cannot be read is set aside and named.
     """
-    if not paths:
-        raise ValueError("no trip files given")
-    files = list_files(spark, *paths)
-    with ThreadPoolExecutor(_FOOTERS_AT_ONCE) as pool:
-        layouts = list(pool.map(lambda f: _layout(spark, f), files))
-    groups: dict[str, list[str]] = {}
-    for file, layout in zip(files, layouts):
-        if layout is not None:
-            groups.setdefault(layout, []).append(file)
-    parts = [
-        conform(with_origin(spark.read.schema(StructType.fromJson(json.loads(layout))).parquet(*own)))
-        for layout, own in groups.items()
-    ]
-    if not parts:
-        parts = [spark.createDataFrame([], StructType([*schema.RAW_TRIPS, *schema.RAW_ORIGIN]))]
-    unreadable = [f for f, layout in zip(files, layouts) if layout is None]
-    return TripFiles(reduce(DataFrame.unionByName, parts), unreadable)
-
-
-def _layout(spark: SparkSession, file: str) -> str | None:
-    """Columns of one file as JSON, or None if its footer is no Parquet."""
-    try:
-        return spark.read.parquet(file).schema.json()
-    except Exception as error:  # the class depends on the kind of session
-        if any(sign in str(error) for sign in _NO_PARQUET):
-            return None
-        raise
+    found = _footers(spark, paths)
+    raw = _read(spark, found, {"ignoreCorruptFiles": "true"})
+    known = [f for group in found.layouts.values() for f in group]
+    rows = [(f.source_file, f.rows, f.ends) for f in known]
+    return TripFiles(raw, spark.createDataFrame(rows, FILES), found.unreadable)
 
 
 def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
@@ -97,10 +83,32 @@ def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
     Every row keeps the path of its file and its position in that file, which together identify it
     however often a task is run again. A file that cannot be read is an error; ``open_trips`` sets it aside.
     """
-    found = open_trips(spark, *paths)
+    found = _footers(spark, paths)
     if found.unreadable:
         raise ValueError(f"not readable as Parquet: {', '.join(found.unreadable[:5])}")
-    return found.raw
+    return _read(spark, found, {})
+
+
+def _footers(spark: SparkSession, paths: Sequence[str]) -> footers.Footers:
+    if not paths:
+        raise ValueError("no trip files given")
+    return footers.look_at(spark, paths, schema.RAW_TRIPS.names)
+
+
+def _read(spark: SparkSession, found: footers.Footers, options: dict[str, str]) -> DataFrame:
+    parts = []
+    for layout, own in found.layouts.items():
+        reader = spark.read.options(**options).schema(StructType.fromJson(json.loads(layout)))
+        parts.append(conform(with_origin(reader.parquet(*[f.path for f in own]))))
+    if not parts:
+        parts = [spark.createDataFrame([], StructType([*schema.RAW_TRIPS, *schema.RAW_ORIGIN]))]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def files_of(raw: DataFrame) -> DataFrame:
+    """A row per file, as in ``TripFiles``, from trips whose footers nobody has looked at."""
+    counted = raw.groupBy("source_file").agg(F.count("*").alias("rows"), F.array(F.max("source_row")).alias("ends"))
+    return counted.select(*FILES.names)
 
 
 def with_origin(files: DataFrame) -> DataFrame:

@@ -43,8 +43,8 @@ def load_new_files(
     The checkpoint remembers the files, and the audit of the tables does too: a file that a bulk load or
     another stream has loaded is left alone. Batches are named after the stream and its batch number, so a
     batch repeated after a failure replaces itself and no other. Files are opened batch by batch with the
-    types in their own footers; one that cannot be opened is listed as rejected. Rollups are left alone;
-    rebuild them with ``load.refresh_rollups`` when the query has ended.
+    types in their own footers; one that cannot be opened is listed as rejected. Every batch keeps
+    its sums for the rollups; merge them with ``load.merge_rollups`` when the query has ended.
     """
     settings = settings or Settings()
     load.write_dimensions(spark, locations, path)
@@ -55,7 +55,7 @@ def load_new_files(
         paths = [r["path"] for r in files.select("path").collect()]
         if paths:
             found = open_trips(session, *paths)
-            load.load_trips(session, found.raw, path, settings, f"{stream}-{batch_id}", found.unreadable)
+            load.load_trips(session, found, path, settings, f"{stream}-{batch_id}")
 
     arrivals = spark.readStream.format("binaryFile").schema(_ARRIVAL).option("recursiveFileLookup", "true")
     return (
