@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import math
 import random
 import string
 
@@ -388,10 +389,33 @@ def test_top_k_of_odd_rows(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0]), (2, None), (3, [nan, 1.0]), (4, [inf, 1.0]), (5, [None, 1.0]), (6, []), (None, [9.0]), (7, [1e30, 1e30])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = sorted(map(tuple, top_k.search(table, F.col("vec_id") == 0, 5).collect()))
-    assert got == [(0, 1, 7, 256 << 28), (0, 2, 1, 65536), (0, 3, 6, 0)]
+    assert got == [(0, 1, 7, (1 << 63) - 1), (0, 2, 1, 65536), (0, 3, 6, 0)]
     assert top_k.search(table.limit(0), F.col("vec_id") == 0, 5).count() == 0
 
 
+def ranked(vectors, is_query, k):
+    """Every row that is a query against every row of another id."""
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in vectors]
+    out = []
+    for q, qv in whole:
+        if is_query(q):
+            scored = sorted((-sum(a * b for a, b in zip(qv, v)), c) for c, v in whole if c != q)
+            out += [(q, n + 1, c, -s) for n, (s, c) in enumerate(scored[:k])]
+    return sorted(out)
+
+
+def test_top_k_of_large_components_and_repeated_ids(spark):
+    large = [(0, [1.0, 1.0]), (5, [3e6, 3e6]), (6, [4e6, 4e6]), (8, [1e9, -3e8]), (9, [2.5e13, 7.0])]
+    twice = [(0, [1.0, 0.0]), (7, [3.0, 0.0]), (8, [2.0, 0.0]), (7, [3.0, 0.0])]
+    # Eight vectors of the query's own id are the best ones; two of them repeat.
+    own = [(0, [float(90 + k), 1.0]) for k in range(8)] + [(0, [90.0, 1.0])] * 2 + [(k, [float(k), 0.0]) for k in range(1, 8)]
+    repeated = [(0, [1.0]), (0, [1.0]), (50, [2.0]), (50, [-1.0]), (3, [1.0]), (3, [0.5]), (4, [1.0])]
+    for rows in (large, twice, own, repeated):
+        table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = sorted(map(tuple, top_k.search(table, F.col("vec_id") % 50 == 0, 5).collect()))
+        assert got == ranked(rows, lambda i: i % 50 == 0, 5)
+
+
 # 10 quality rules
 
 

@@ -105,16 +105,17 @@ FROM copied
 TOP_K = 5
 OP9_SQL = f"""
 WITH vectors AS (
-    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    SELECT row_number() OVER () AS row_id, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
     WHERE embedding IS NOT NULL
         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
 scored AS (
-    SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+    SELECT q.row_id, q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
     FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
 )
-SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
-FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= {TOP_K}
+SELECT query_id, (row_number() OVER (PARTITION BY row_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+FROM scored QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY score DESC, vec_id) <= {TOP_K}
 """
 
 _SPACE = r"[\x20\x09-\x0D]"

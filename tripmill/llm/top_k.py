@@ -1,6 +1,6 @@
 """Exact top-k search over vector-approximation files.
 
-Vectors are turned into integers, ``floor(256 * x)`` of each component. The approximation file holds, of
+Vectors are turned into whole numbers, ``floor(256 * x)`` of each component, which doubles hold exactly. The approximation file holds, of
 each distinct vector, the cell of every component on a grid of ``2 ** BITS`` equal cells over that
 component's range; the exact vectors stand in a file of their own. A search scans the cells only: from a
 cell's ends follow a lower and an upper bound of the inner product with a query. The k-th largest lower
@@ -8,15 +8,17 @@ bound says which upper bounds are still of interest. Exact vectors are then read
 bounds, first the best few of every query; what remains is read only where its bound still reaches the
 k-th exact score, after which the result is certain.
 
-Equal vectors are one entry with its k + 1 smallest ids, as no others can be among the first k. Queries
+Equal vectors are one entry with the ids of their rows: the k + 1 smallest ids, each with how many rows it has,
+as no others can be among the first k, whichever id is left out. A query leaves out all rows of its own id. As these may be
+many and near, every cut is made as many places further down as the query's id has vectors. Queries
 and cells are dealt in blocks of packed rows, and every block of queries meets every block of cells once;
 nothing is collected or broadcast.
 
 Cases: a vector that is null or has null or non-finite components takes no part, nor does a row without
-vec_id. Shorter vectors count as filled up with zeros. Components beyond 2 ** 28 in size are cut to that,
-so that scores fit a long. Ties go to the smaller vec_id. Rows equal in vec_id and vector count once; a query
-leaves out all rows of its own id, of which no more than one vector is expected. An empty table gives no
-rows. Other columns are ignored.
+vec_id. Shorter vectors count as filled up with zeros. Ties go to the smaller vec_id. Repeated rows count as often as they
+are there, as queries and as candidates. Scores are exact whatever the
+size of components; one that no long holds becomes the largest or smallest long. Components of 1e140 or more count as
+non-finite. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from tripmill.llm import common
 
 SCALE, BITS = 256, 8
-_LARGEST = 1 << 28
+_TOO_LARGE = 1e140
 # Vectors in a block of cells and in a block of queries.
 CELL_BLOCK, QUERY_BLOCK = 8192, 512
 _SALTS = 16
@@ -39,63 +41,61 @@ _SALTS = 16
 
 def whole_numbers(df: DataFrame, vector: str = "embedding") -> DataFrame:
     """(vec_id, values): components as integers; rows that take no part are left out."""
-    wide = F.transform(vector, lambda x: F.floor(x.cast("double") * SCALE))
+    def whole(x: Column) -> Column:
+        scaled = x.cast("double") * SCALE
+        # Doubles of this size have no fraction.
+        return F.when(F.abs(scaled) < float(1 << 52), F.floor(scaled).cast("double")).otherwise(scaled)
+
     usable = (
         F.col("vec_id").isNotNull()
         & F.col(vector).isNotNull()
-        & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < math.inf))
+        & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < _TOO_LARGE))
     )
-    cut = F.transform(wide, lambda x: F.greatest(F.lit(-_LARGEST), F.least(F.lit(_LARGEST), x)).cast("long"))
-    return df.filter(usable).select("vec_id", cut.alias("values"))
+    return df.filter(usable).select("vec_id", F.transform(vector, whole).alias("values"))
 
 
 def distinct_vectors(vectors: DataFrame, k: int) -> DataFrame:
-    """(key, values, ids): equal vectors once, with their k + 1 smallest ids, first gathered within tasks."""
-
-    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            ids: dict[bytes, list[int]] = {}
-            values = {}
-            for key, row, vec_id in zip(batch["key"], batch["values"], batch["vec_id"]):
-                ids.setdefault(key, []).append(vec_id)
-                values[key] = row
-            rows = [(key, values[key], sorted(set(own))[: k + 1]) for key, own in ids.items()]
-            yield pd.DataFrame(rows, columns=["key", "values", "ids"])
-
+    """(key, values, ids): equal vectors once; ids as (vec_id, copies), the k + 1 smallest, copies k at most."""
     keyed = vectors.withColumn("key", vector_key(F.col("values")))
-    local = keyed.select("key", "values", "vec_id").mapInPandas(gather, "key binary, values array<long>, ids array<long>")
-    together = local.groupBy("key").agg(F.first("values").alias("values"), F.flatten(F.collect_list("ids")).alias("ids"))
-    return together.withColumn("ids", F.slice(F.array_sort(F.array_distinct("ids")), 1, k + 1))
+    counted = keyed.groupBy("key", "vec_id").agg(F.count("*").alias("copies"), F.first("values").alias("values"))
+    order = Window.partitionBy("key").orderBy("vec_id")
+    smallest = counted.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1)
+    entry = F.struct("vec_id", F.least("copies", F.lit(k)).alias("copies"))
+    return smallest.groupBy("key").agg(F.first("values").alias("values"), F.array_sort(F.collect_list(entry)).alias("ids"))
 
 
 def vector_key(values: Column) -> Column:
     """Names an integer vector; zeros at the end make no difference."""
-    text = F.regexp_replace(F.array_join(F.transform(values, lambda x: x.cast("string")), ","), "(,0|^0)+$", "")
+    text = F.regexp_replace(F.array_join(F.transform(values, lambda x: x.cast("string")), ","), "(,0\\.0|^0\\.0)+$", "")
     return F.unhex(F.md5(text))
 
 
 def _pack(rows: DataFrame, block_size: int, name: str) -> DataFrame:
-    """Rows (key, values) in blocks: (block, keys, data), the vectors as 64-bit integers one after another."""
+    """Rows (key, values, width) in blocks: (block, keys, widths, dims, data), all numbers with 64 bits in a row."""
     blocks = max(1, math.ceil(rows.count() / block_size))
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
 
-        held: dict[int, tuple[list, list]] = {}
+        held: dict[int, tuple[list, list, list]] = {}
         for batch in batches:
-            for block, key, values in zip(batch["block"], batch["key"], batch["values"]):
-                keys, data = held.setdefault(block, ([], []))
+            for block, key, values, width in zip(batch["block"], batch["key"], batch["values"], batch["width"]):
+                keys, widths, data = held.setdefault(block, ([], [], []))
                 keys.append(key)
+                widths.append(width)
                 data.append(values)
-        for block, (keys, data) in held.items():
+        for block, (keys, widths, data) in held.items():
             dims = max(map(len, data))
-            matrix = np.zeros((len(data), dims), "<i8")
+            matrix = np.zeros((len(data), dims), "<f8")
             for at, values in enumerate(data):
                 matrix[at, : len(values)] = values
-            yield pd.DataFrame([(block, b"".join(keys), dims, matrix.tobytes())], columns=["block", "keys", "dims", "data"])
+            row = (block, b"".join(keys), np.array(widths, "<i8").tobytes(), dims, matrix.tobytes())
+            yield pd.DataFrame([row], columns=["block", "keys", "widths", "dims", "data"])
 
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
-    packed = dealt.select("block", "key", "values").mapInPandas(pack, "block int, keys binary, dims int, data binary")
+    packed = dealt.select("block", "key", "values", "width").mapInPandas(
+        pack, "block int, keys binary, widths binary, dims int, data binary"
+    )
     return common.stage(packed, name)
 
 
@@ -108,10 +108,10 @@ def approximation_file(exact: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for block, keys, dims, data in batch.itertuples(index=False):
-                matrix = np.frombuffer(data, "<i8").reshape(-1, dims)
+                matrix = np.frombuffer(data, "<f8").reshape(-1, dims)
                 low = matrix.min(axis=0)
-                step = (matrix.max(axis=0) - low) // (1 << BITS) + 1
-                cells = ((matrix - low) // step).astype("uint8")
+                step = np.floor((matrix.max(axis=0) - low) / (1 << BITS)) + 1
+                cells = np.minimum((matrix - low) // step, (1 << BITS) - 1).astype("uint8")
                 out.append((block, keys, dims, cells.tobytes(), low.tobytes(), step.tobytes()))
             yield pd.DataFrame(out, columns=["block", "keys", "dims", "cells", "low", "step"])
 
@@ -132,34 +132,43 @@ def bounds(queries, cells, low, step):
     import numpy as np
 
     dims = max(queries.shape[1], cells.shape[1])
-    first = (low + cells.astype("int64") * step).astype("float64")
+    first = low + cells * step
     last = first + (step - 1)
-    q, first, last = (_padded(x.astype("float64"), dims) for x in (queries, first, last))
+    largest = np.maximum(np.abs(low), np.abs(low + step * (1 << BITS)))[None, :]
+    q, first, last, largest = (_padded(x, dims) for x in (queries, first, last, largest))
     positive, negative = np.maximum(q, 0), np.minimum(q, 0)
     lower = positive @ first.T + negative @ last.T
     upper = positive @ last.T + negative @ first.T
-    # Sums beyond 2 ** 53 are rounded; the slack keeps the bounds bounds.
-    slack = 1e-12 * (np.abs(q) @ np.maximum(np.abs(first), np.abs(last)).T)
+    # What goes beyond 2 ** 53 is rounded; the slack keeps the bounds bounds.
+    slack = 1e-12 * (np.abs(q) @ largest.T)
     return lower - slack, upper + slack
 
 
-def candidates(queries: DataFrame, approximations: DataFrame, k: int) -> DataFrame:
-    """(query, key, lower, upper): per query and block what the block's own bounds cannot rule out."""
+def candidates(queries: DataFrame, approximations: DataFrame) -> DataFrame:
+    """(query, width, key, lower, upper): per query and block what the block's own bounds cannot rule out.
+
+    Of any number of vectors, those whose upper bound is below the width-th largest lower bound are ruled out.
+    """
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
 
         for batch in batches:
-            for q_keys, q_dims, q_data, keys, dims, cells, low, step in batch.itertuples(index=False):
-                q = np.frombuffer(q_data, "<i8").reshape(-1, q_dims)
-                grid = np.frombuffer(low, "<i8"), np.frombuffer(step, "<i8")
+            for q_keys, q_widths, q_dims, q_data, keys, dims, cells, low, step in batch.itertuples(index=False):
+                q = np.frombuffer(q_data, "<f8").reshape(-1, q_dims)
+                grid = np.frombuffer(low, "<f8"), np.frombuffer(step, "<f8")
                 lower, upper = bounds(q, np.frombuffer(cells, "uint8").reshape(-1, dims), *grid)
-                n = lower.shape[1]
-                least = np.partition(lower, n - k - 1, axis=1)[:, n - k - 1] if n > k + 1 else np.full(len(q), -np.inf)
+                n, width = lower.shape[1], np.frombuffer(q_widths, "<i8")
+                least = np.full(len(q), -np.inf)
+                # Queries of the same width, mostly all of them, are cut together.
+                for w in np.unique(width[width <= n]).tolist():
+                    rows = np.nonzero(width == w)[0]
+                    least[rows] = np.partition(lower[rows], n - w, axis=1)[:, n - w]
                 a, b = np.nonzero(upper >= least[:, None])
                 yield pd.DataFrame(
                     {
                         "query": [q_keys[16 * x : 16 * x + 16] for x in a.tolist()],
+                        "width": width[a],
                         "key": [keys[16 * x : 16 * x + 16] for x in b.tolist()],
                         "lower": lower[a, b],
                         "upper": upper[a, b],
@@ -170,12 +179,13 @@ def candidates(queries: DataFrame, approximations: DataFrame, k: int) -> DataFra
     names = everywhere.groupBy().agg(F.collect_list("cell_block").alias("_blocks"))  # numbers only, one per block
     numbers = [int(x) for x in (names.first() or [[]])[0]]
     asked = queries.select(
-        F.col("keys").alias("q_keys"), F.col("dims").alias("q_dims"), F.col("data").alias("q_data"),
+        F.col("keys").alias("q_keys"), F.col("widths").alias("q_widths"),
+        F.col("dims").alias("q_dims"), F.col("data").alias("q_data"),
         F.explode(F.lit(numbers) if numbers else F.array().cast("array<int>")).alias("block"),
     )
     paired = asked.repartition("block", "q_keys").join(approximations, "block")
-    columns = ["q_keys", "q_dims", "q_data", "keys", "dims", "cells", "low", "step"]
-    found = paired.select(*columns).mapInPandas(scan, "query binary, key binary, lower double, upper double")
+    columns = ["q_keys", "q_widths", "q_dims", "q_data", "keys", "dims", "cells", "low", "step"]
+    found = paired.select(*columns).mapInPandas(scan, "query binary, width long, key binary, lower double, upper double")
     return common.stage(found, "bounds")
 
 
@@ -186,47 +196,65 @@ def _scores(pairs: DataFrame, exact: DataFrame, asked: DataFrame) -> DataFrame:
     def product(a: pd.Series, b: pd.Series) -> pd.Series:
         import numpy as np
 
-        return pd.Series([int(x[: min(len(x), len(y))] @ y[: min(len(x), len(y))]) for x, y in zip(a.map(np.asarray), b.map(np.asarray))], dtype="int64")
+        def exact_product(x, y) -> int:
+            n = min(len(x), len(y))
+            x, y = x[:n], y[:n]
+            # Sums of this size are exact in doubles; larger ones are added as Python's integers.
+            if float(np.abs(x) @ np.abs(y)) < float(1 << 53):
+                return int(x @ y)
+            return max(-(1 << 63), min((1 << 63) - 1, sum(int(p) * int(q) for p, q in zip(x, y))))
+
+        return pd.Series([exact_product(np.asarray(x), np.asarray(y)) for x, y in zip(a, b)], dtype="int64")
 
     vectors = exact.select("key", F.col("values").alias("b"), "ids")
     known = pairs.join(vectors, "key").join(asked.select(F.col("key").alias("query"), F.col("values").alias("a")), "query")
-    return known.select("query", "key", "upper", product("a", "b").alias("score"), "ids")
+    return known.select("query", "width", "key", "upper", product("a", "b").alias("score"), "ids")
 
 
 def search(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     """query_id, rank, vec_id, score: the k best other rows for each row of (vec_id, embedding) that is a query."""
     rows = common.stage(whole_numbers(vectors), "vectors")
     exact = common.stage(distinct_vectors(rows, k), "exact")
-    asking = rows.filter(is_query).select("vec_id", vector_key(F.col("values")).alias("key")).distinct()
-    asked = exact.join(asking.select("key").distinct(), "key", "left_semi")
-    cells = approximation_file(_pack(exact, CELL_BLOCK, "exact-blocks"))
-    found = candidates(_pack(asked, QUERY_BLOCK, "query-blocks"), cells, k)
+    keyed = rows.withColumn("key", vector_key(F.col("values")))
+    asking = keyed.filter(is_query).select("vec_id", "key")
+    # How many vectors the query's own rows may have among the best.
+    own = keyed.join(asking.select("vec_id").distinct(), "vec_id", "left_semi").groupBy("vec_id")
+    own = own.agg(F.count_distinct("key").alias("own"))
+    widths = asking.distinct().join(own, "vec_id").groupBy("key").agg((F.max("own") + k).alias("width"))
+    asked = common.stage(exact.join(widths, "key"), "asked")
+    cells = approximation_file(_pack(exact.withColumn("width", F.lit(0)), CELL_BLOCK, "exact-blocks"))
+    found = candidates(_pack(asked, QUERY_BLOCK, "query-blocks"), cells)
 
     by_lower = Window.partitionBy("query").orderBy(F.desc("lower"))
-    least = found.withColumn("n", F.row_number().over(by_lower)).filter(F.col("n") == k + 1)
+    least = found.withColumn("n", F.row_number().over(by_lower)).filter(F.col("n") == F.col("width"))
     hopeful = found.join(least.select("query", F.col("lower").alias("least")), "query", "left")
     by_upper = Window.partitionBy("query").orderBy(F.desc("upper"), "key")
     hopeful = hopeful.filter(F.col("least").isNull() | (F.col("upper") >= F.col("least"))).select(
-        "query", "key", "upper", F.row_number().over(by_upper).alias("turn")
+        "query", "width", "key", "upper", F.row_number().over(by_upper).alias("turn")
     )
     hopeful = common.stage(hopeful, "hopeful")
-    first = common.stage(_scores(hopeful.filter(F.col("turn") <= 2 * (k + 1)), exact, asked), "first-scores")
+    early = F.col("turn") <= 2 * F.col("width")
+    first = common.stage(_scores(hopeful.filter(early), exact, asked), "first-scores")
     by_score = Window.partitionBy("query").orderBy(F.desc("score"))
-    reached = first.withColumn("n", F.row_number().over(by_score)).filter(F.col("n") == k + 1)
-    rest = hopeful.filter(F.col("turn") > 2 * (k + 1)).join(
-        reached.select("query", F.col("score").alias("reached")), "query", "left"
-    )
-    rest = rest.filter(F.col("reached").isNull() | (F.col("upper") >= F.col("reached"))).select("query", "key", "upper")
-    scored = first.unionByName(_scores(rest, exact, asked)).select("query", "score", F.explode("ids").alias("vec_id"))
+    reached = first.withColumn("n", F.row_number().over(by_score)).filter(F.col("n") == F.col("width"))
+    rest = hopeful.filter(~early).join(reached.select("query", F.col("score").alias("reached")), "query", "left")
+    rest = rest.filter(F.col("reached").isNull() | (F.col("upper") >= F.col("reached"))).select("query", "width", "key", "upper")
+    scored = first.unionByName(_scores(rest, exact, asked)).select("query", "score", F.explode("ids").alias("of"))
+    scored = scored.select("query", "score", "of.vec_id", "of.copies")
+    # Of an id, k rows at most; then so many ids that k are left when the asking one goes.
+    of_id = Window.partitionBy("query", "vec_id").orderBy(F.desc("score"))
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    # An id may be among equal vectors more than once, and a query's own rows still have to go.
-    kept = scored.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1)
-    lists = kept.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("n", "vec_id", "score"))).alias("best"))
-    spread = common.stage(lists, "best").withColumn("salt", common.salts(_SALTS))
+    kept = scored.withColumn("turn", F.row_number().over(of_id)).filter(F.col("turn") <= k)
+    kept = kept.withColumn("ids", F.sum((F.col("turn") == 1).cast("int")).over(best)).filter(F.col("ids") <= k + 1)
+    hits = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("order"), "vec_id", "score", "copies")))
+    spread = common.stage(kept.groupBy("query").agg(hits.alias("best")), "best").withColumn("salt", common.salts(_SALTS))
     asking = asking.withColumn("salt", common.salt_of("vec_id", salts=_SALTS))
     answers = asking.join(spread, (asking["key"] == spread["query"]) & (asking["salt"] == spread["salt"]))
-    others = F.slice(F.filter("best", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
-    answers = answers.select(F.col("vec_id").alias("query_id"), "best").select("query_id", F.posexplode(others).alias("at", "hit"))
+    others = F.filter("best", lambda x: x["vec_id"] != F.col("query_id"))
+    repeated = F.flatten(F.transform(others, lambda x: F.array_repeat(x, x["copies"].cast("int"))))
+    answers = answers.select(F.col("vec_id").alias("query_id"), "best").select(
+        "query_id", F.posexplode(F.slice(repeated, 1, k)).alias("at", "hit")
+    )
     return answers.select(
         "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), F.col("hit.score").alias("score")
     )
