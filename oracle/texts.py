@@ -78,6 +78,7 @@ def _load() -> dict[str, str]:
             {share("(original_trips - loaded_trips)", "original_trips")} AS filtered_pct FROM ({audit})""",
         "load_batch": loaded,
         "incremental_load": loaded,
+        "incremental_rollups": _long_rollups(),
         "load_totals": f"""SELECT {big("SUM(loaded_trips)")} AS loaded_trips,
             {big("SUM(original_trips - loaded_trips)")} AS filtered_trips,
             {share("SUM(original_trips - loaded_trips)", "SUM(original_trips)")} AS filter_rate_pct FROM ({audit})""",
@@ -91,6 +92,32 @@ def _load() -> dict[str, str]:
     }
 
 
+def _long_rollups() -> str:
+    """All rollups, a row per key and measure."""
+    keys = {
+        "mv_zone_pickup": ["location_id"],
+        "mv_zone_dropoff": ["location_id"],
+        "mv_hourly_demand": ["pickup_date", "pickup_hour", "pickup_day_of_week", "is_weekend"],
+        "mv_od_flows": ["pu_location_id", "do_location_id"],
+        "mv_vendor_performance": ["vendor_id"],
+        "mv_payment_patterns": ["payment_type_id", "pickup_hour", "is_weekend"],
+    }
+    parts = []
+    for name, own in keys.items():
+        key = " || '|' || ".join(f"{k}::VARCHAR" for k in own)
+        values = f"SELECT {key} AS key, COLUMNS(* EXCLUDE ({', '.join(own)}))::DOUBLE FROM {name}"
+        parts.append(_unpivoted(name, values))
+    overall = """SELECT metric_type AS key, COLUMNS(* EXCLUDE (metric_type, first_trip_date, last_trip_date))::DOUBLE,
+        epoch_us(first_trip_date)::DOUBLE AS first_trip_date, epoch_us(last_trip_date)::DOUBLE AS last_trip_date
+        FROM summary_statistics"""
+    return " UNION ALL ".join([*parts, _unpivoted("summary_statistics", overall)])
+
+
+def _unpivoted(name: str, query: str) -> str:
+    return f"""SELECT '{name}' AS rollup, key, measure, value
+        FROM ({query}) UNPIVOT INCLUDE NULLS (value FOR measure IN (COLUMNS(* EXCLUDE (key))))"""
+
+
 def _rollups() -> dict[str, str]:
     names = [
         "mv_zone_pickup",

@@ -8,9 +8,11 @@ import shutil
 import tempfile
 import threading
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from tripmill.config import Settings
 from tripmill.functions.exact import total
@@ -21,6 +23,17 @@ from tripmill.sources import commerce, store
 from tripmill.sources.trips import list_files, open_trips
 from tripmill.streaming.incremental import load_new_files
 
+# Key columns of each rollup; all others are measures.
+ROLLUP_KEYS = {
+    "mv_zone_pickup": ["location_id"],
+    "mv_zone_dropoff": ["location_id"],
+    "mv_hourly_demand": ["pickup_date", "pickup_hour", "pickup_day_of_week", "is_weekend"],
+    "mv_od_flows": ["pu_location_id", "do_location_id"],
+    "mv_vendor_performance": ["vendor_id"],
+    "mv_payment_patterns": ["payment_type_id", "pickup_hour", "is_weekend"],
+    "summary_statistics": ["metric_type"],
+}
+
 _lock = threading.RLock()
 _known: dict[tuple, TripTables] = {}
 
@@ -130,10 +143,10 @@ def load_batch(spark: SparkSession, folder: str, settings: Settings) -> DataFram
     return _loaded(spark, f"{work}/tables", settings)
 
 
-def incremental_load(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
+def _two_lots(spark: SparkSession, folder: str, settings: Settings) -> str:
     """Trip files arriving in two lots, each picked up by the incremental load, the second by a new stream.
 
-    Gives what the stored tables hold.
+    Gives the folder of the tables.
     """
     work = _work_folder(spark)
     source = commerce.CommerceTables.read(spark, folder)
@@ -146,4 +159,33 @@ def incremental_load(spark: SparkSession, folder: str, settings: Settings) -> Da
             spark, f"{work}/raw", locations, f"{work}/tables", f"{work}/checkpoint-{turn}", settings
         )
         query.awaitTermination()
-    return _loaded(spark, f"{work}/tables", settings)
+    return f"{work}/tables"
+
+
+def incremental_load(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
+    """What the stored tables hold after two lots of trip files have arrived."""
+    return _loaded(spark, _two_lots(spark, folder, settings), settings)
+
+
+def incremental_rollups(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
+    """All rollups merged from the states of two lots of trip files, a row per key and measure."""
+    path = _two_lots(spark, folder, settings)
+    load.merge_rollups(spark, path, settings)
+    tables = SavedTables(spark, path, settings=settings)
+    parts = []
+    for name, keys in ROLLUP_KEYS.items():
+        rollup = getattr(tables, name)
+        values = [
+            F.struct(F.lit(field.name).alias("measure"), _number(field).alias("value"))
+            for field in rollup.schema
+            if field.name not in keys
+        ]
+        key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+        parts.append(rollup.select(F.lit(name).alias("rollup"), key.alias("key"), F.explode(F.array(*values)).alias("of")))
+    return reduce(DataFrame.unionByName, parts).select("rollup", "key", "of.measure", "of.value")
+
+
+def _number(field: StructField) -> Column:
+    if field.dataType.typeName() == "timestamp_ntz":
+        return F.unix_micros(F.col(field.name).cast("timestamp")).cast("double")
+    return F.col(field.name).cast("double")

@@ -12,8 +12,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, TimestampType
 
-# Tasks per core, over all of which the files are spread.
-_TASKS = 4
+# Files in a task at least, and tasks per core at most.
+_FILES, _TASKS = 16, 4
 _AT_ONCE = 16
 _FOUND = "path string, source_file string, state string, layout string, rows bigint, ends array<bigint>"
 # What Spark says about a file that is no Parquet, or an empty one.
@@ -58,7 +58,8 @@ def look_at(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -
     # Only names are asked for, so contents are not read.
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
     named = listed.select("path", F.col("_metadata.file_path").alias("source_file"))
-    dealt = named.repartition(_TASKS * spark.sparkContext.defaultParallelism)
+    tasks = min(-(-len(listed.inputFiles()) // _FILES), _TASKS * spark.sparkContext.defaultParallelism)
+    dealt = named.repartition(max(1, tasks))
     others = []
     for row in sorted(dealt.mapInPandas(look, _FOUND).collect(), key=lambda r: r["path"]):
         if row["state"] == "parquet":
