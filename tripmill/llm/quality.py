@@ -2,8 +2,8 @@
 
 Lines are normalised and hashed; a line is boilerplate on a host if more than ``MIN_DOCS`` documents of the
 host contain it and it has ``LONG_LINE`` letters or more. Shorter lines may be everyday phrases, and
-rows of figures are alike once digits are 0; they need more than ``MAX_SHARE`` of the documents of the
-host, too. Such lines are removed, and a document
+rows of figures are alike once digits are 0; they need more than ``SHORT_DOCS`` documents. Neither limit
+depends on the size of the host. Such lines are removed, and a document
 is rejected if what is left has fewer than ``MIN_WORDS`` words or less than ``MIN_LEFT`` of its words.
 The base rules reject a document of fewer than ``MIN_WORDS`` words or with more than half of its words
 in repeated windows of three.
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tripmill.llm import common
 
 MIN_WORDS = 50
-MIN_DOCS, MAX_SHARE = 20, 0.002
+MIN_DOCS, SHORT_DOCS = 20, 200
 # Characters, without digits, blanks and ASCII punctuation, of a normalised line that is no everyday phrase.
 LONG_LINE = 32
 MIN_LEFT = 0.3
@@ -110,24 +110,20 @@ def features(docs: DataFrame) -> DataFrame:
 
 
 
-
-def boilerplate(lines: DataFrame, hosts: DataFrame, min_docs: int, max_share: float) -> DataFrame:
+def boilerplate(lines: DataFrame, min_docs: int, short_docs: int) -> DataFrame:
     """(host, hash) of the lines of (row_id, host, hash, long, first) that too many documents of the host contain."""
     counts = F.count_if("first").alias("n_docs"), F.bool_or("long").alias("long")
-    counted = lines.groupBy("host", "hash").agg(*counts).filter(F.col("n_docs") > min_docs)
-    same = counted["host"].eqNullSafe(hosts["host"])
-    frequent = counted.join(hosts, same).filter(F.col("long") | (F.col("n_docs") > max_share * F.col("host_docs")))
-    return frequent.select(counted["host"], "hash")
+    limit = F.when(F.col("long"), min_docs).otherwise(max(min_docs, short_docs))
+    return lines.groupBy("host", "hash").agg(*counts).filter(F.col("n_docs") > limit).select("host", "hash")
 
 
 def judge(
-    docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT
+    docs: DataFrame, min_docs: int = MIN_DOCS, short_docs: int = SHORT_DOCS, min_left: float = MIN_LEFT
 ) -> DataFrame:
     """doc_id, the base counts, removed_words, base_failed and kept for every row of (doc_id, source, text)."""
     rows = common.stage(features(docs).withColumn("row_id", F.monotonically_increasing_id()), "quality-rows")
-    hosts = rows.groupBy("host").agg(F.count("*").alias("host_docs"))
     lines = rows.select("row_id", "host", F.explode("lines").alias("line")).select("row_id", "host", "line.*")
-    common_lines = common.stage(boilerplate(lines, hosts, min_docs, max_share), "boilerplate")
+    common_lines = common.stage(boilerplate(lines, min_docs, short_docs), "boilerplate")
     salted = common_lines.select(F.col("host").alias("_host"), F.col("hash").alias("_hash"), common.salts(_SALTS).alias("_salt"))
     hit = (
         F.col("host").eqNullSafe(F.col("_host"))

@@ -25,7 +25,8 @@ from tripmill.llm import (
     warc,
 )
 
-SHARD_BYTES = 64 << 20
+# Small enough that the smallest tables are split too.
+SHARD_BYTES = 256 << 10
 
 # A row's bucket is its shortest prefix of the hash that fits, as only buckets that do not are split.
 OP1_SQL = f"""
@@ -158,15 +159,14 @@ lines AS (
             '{_SPACE}+', ' ', 'g'), ' ') AS line
     FROM own_lines
 ),
-hosts AS (SELECT source, count(*) AS host_docs FROM docs GROUP BY source),
 frequent AS (
-    SELECT source, line FROM (SELECT source, line, count(DISTINCT row_id) AS n_docs FROM lines GROUP BY source, line)
-    JOIN hosts USING (source)
-    WHERE n_docs > {quality.MIN_DOCS} AND n_docs > {quality.MAX_SHARE} * host_docs
+    SELECT source, line FROM lines GROUP BY source, line
+    HAVING count(DISTINCT row_id) > CASE WHEN regexp_matches(line, '^(?:[0 [:punct:]]*[^0 [:punct:]]){{{{{quality.LONG_LINE}}}}}')
+        THEN {quality.MIN_DOCS} ELSE {quality.SHORT_DOCS} END
 ),
 removed AS (
-    SELECT row_id, sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')))::BIGINT AS removed_words
-    FROM lines JOIN frequent USING (source, line) GROUP BY row_id
+    SELECT row_id, sum(len(regexp_extract_all(lines.line, '[^\x20\x09-\x0D]+')))::BIGINT AS removed_words
+    FROM lines JOIN frequent f ON lines.source IS NOT DISTINCT FROM f.source AND lines.line = f.line GROUP BY row_id
 ),
 counted AS (
     SELECT doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,

@@ -51,12 +51,12 @@ _ALPHABET = string.ascii_letters + string.digits + "+/_=-"
 LEAST = 20
 _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
 _JOINT = re.compile("[/=_-]")
-_JOINTS = ["_", "-", "/", ""]
+_JOINTS = ["_", "-", "/"]
 _IDENTIFIER = re.compile(r"[A-Za-z]{4,}")
 # Hexadecimal runs shorter than the rule's least length are no matches, so they need not be visited.
 _LONG_HEX = re.compile(r"[0-9a-f]{32,}")
 
-TRAIN_DOCUMENTS = 2_000
+TRAIN_DOCUMENTS = 20_000
 # Random strings made per alphabet, and their length.
 _MADE, _MADE_LENGTH = 2_000, 40
 # A string needs this log-likelihood ratio per character, in nats.
@@ -182,8 +182,9 @@ def labelled_strings(text: str) -> Iterator[tuple[int, str]]:
         if not any(a < m.end() and m.start() < b for a, b, _ in spans):
             yield 0, m[0]
             # Identifiers of code are words put together, sometimes with a number.
-            joint = _JOINTS[turn % len(_JOINTS)]
-            yield 0, before + joint + m[0] if joint else before + m[0].capitalize() + str(turn % 10)
+            for joint in _JOINTS:
+                yield 0, before + joint + m[0]
+            yield 0, before + m[0].capitalize() + str(turn % 10)
             before, turn = m[0], turn + 1
 
 
