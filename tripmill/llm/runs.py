@@ -244,10 +244,16 @@ def intervals(live: DataFrame) -> DataFrame:
 
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["row_id", "first", "last", "start", "boundaries", "words"]
+        rows, held = [], 0
         for batch in batches:
             for row_id, text in zip(batch["row_id"], batch["text"]):
                 for tile in tiles_of(word_codes(text)):
-                    yield pd.DataFrame([(row_id, *tile)], columns=columns)
+                    rows.append((row_id, *tile))
+                    held += len(tile[-1])
+                    if held >= _PIECE:
+                        yield pd.DataFrame(rows, columns=columns)
+                        rows, held = [], 0
+        yield pd.DataFrame(rows, columns=columns)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
