@@ -13,7 +13,7 @@ from tripmill import SavedTables, Settings, TripTables
 from tripmill import schema as layouts
 from tripmill.__main__ import main
 from tripmill.operators import additive, clean, patterns, quality, zones
-from tripmill.plans import load
+from tripmill.plans import contract, load
 from tripmill.plans.tables import ROLLUPS
 from tripmill.sources import store
 from tripmill.sources.trips import open_trips, read_trips
@@ -410,3 +410,33 @@ def test_states_read_new_partitions_only(spark, locations, tmp_path, month_file)
     for state in additive.states(trips).values():
         plan = state._jdf.queryExecution().executedPlan().toString()
         assert re.search(r"PartitionFilters: \[[^\]]*load_batch[^\]]*= other", plan)
+
+
+def test_batch_that_breaks_the_contract_is_not_seen(spark, locations, tmp_path, month_file):
+    """A raw table with ids of its own: repeated ones, in the batch or against an earlier one, are refused."""
+    target = str(tmp_path / "tables")
+    load.write_dimensions(spark, locations, target)
+    first = read_trips(spark, month_file(1, {}, {})).withColumn("trip_id", F.col("source_row"))
+    load.load_trips(spark, first, target, SETTINGS, "a-1")
+    second = read_trips(spark, month_file(2, {}, {}, {}))
+    for ids, rule in ((F.lit(70), "primary key"), (F.col("source_row") + 1, "primary key of an earlier batch")):
+        with pytest.raises(contract.ContractError) as error:
+            load.load_trips(spark, second.withColumn("trip_id", ids.cast("bigint")), target, SETTINGS, "a-2")
+        assert [v[1] for v in error.value.violations] == [rule]
+        t = SavedTables(spark, target, settings=SETTINGS)
+        assert (t.fact_trip.count(), t.load_audit.count()) == (2, 1)
+    load.load_trips(spark, second.withColumn("trip_id", F.col("source_row") + 10), target, SETTINGS, "a-2")
+    assert SavedTables(spark, target, settings=SETTINGS).fact_trip.count() == 5
+    twice = locations.union(locations.limit(1))
+    with pytest.raises(contract.ContractError):
+        load.write_dimensions(spark, twice, target)
+
+
+def test_contract_reads_no_earlier_batches(spark, locations, tmp_path, month_file):
+    """Ids made of file numbers lie in ranges that do not overlap, so row groups of earlier batches are skipped."""
+    target = str(tmp_path / "tables")
+    load.write_dimensions(spark, locations, target)
+    load.load_trips(spark, open_trips(spark, month_file(1, *[{}] * 3000)), target, SETTINGS, "a-1")
+    load.load_trips(spark, open_trips(spark, month_file(2, {}, {})), target, SETTINGS, "a-2")
+    read = scanned_rows(spark, lambda: contract.batch_violations(spark, target, "a-2", ["a-1"]))
+    assert read < 100

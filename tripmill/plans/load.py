@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tripmill.config import Settings
 from tripmill.operators import additive, clean
+from tripmill.plans import contract
 from tripmill.plans.tables import SavedTables
 from tripmill.sources import dimensions, store
 from tripmill.sources.trips import TripFiles, files_of
@@ -45,6 +46,9 @@ def write_dimensions(spark: SparkSession, locations: DataFrame, path: str) -> No
         "dim_payment_type": dimensions.payment_types(spark),
         "dim_rate_code": dimensions.rate_codes(spark),
     }
+    violations = [v for name, rows in tables.items() for v in contract.table_violations(rows, name)]
+    if violations:
+        raise contract.ContractError(violations)
     _write_together(tables, path)
 
 
@@ -61,7 +65,8 @@ def load_trips(
     The scan stages the trips that pass the filters, and the last trip of every row group, which shows that the
     file could be read to its end. The audit and the fact table are built from the staged trips. The audit comes last:
     trips of a batch it does not list are not part of the table, so a load that breaks off in between
-    leaves nothing to be seen, and its files are loaded by the next one. Files that an earlier batch lists
+    leaves nothing to be seen, and its files are loaded by the next one. A batch that breaks the tables' contract is
+    taken back before it is listed. Files that an earlier batch lists
     are left alone, and file numbers go on from the highest one listed.
     """
     ids = clean.home_ids(store.read_table(spark, path, "dim_location"), settings.home)
@@ -91,6 +96,13 @@ def load_trips(
         # A table is never seen with the new trips and the old audit, or the other way round.
         store.write_audit(staged.limit(0), path, batch, True)
     store.write_fact(clean.build_fact(accepted), path, batch, everything)
+    listed = [] if earlier is None else [r["load_batch"] for r in earlier.select("load_batch").distinct().collect()]
+    violations = contract.batch_violations(spark, path, batch, listed)
+    if violations:
+        # A batch that is loaded again has replaced its former trips, so it is no longer listed either.
+        for table in ("load_audit", "fact_trip"):
+            store.delete(spark, f"{path}/{table}/load_batch={batch}")
+        raise contract.ContractError(violations)
     write_states(spark, path, batch, everything)
     store.write_audit(staged, path, batch, everything)
     for name in (f"{batch}-trips", f"{batch}-files", batch):
