@@ -4,6 +4,7 @@ A state has whole numbers only, so that merged states give the same rollups, to
 all trips. Medians come from counted fares. What is kept per batch:
 
 - ``route_fares``: trips, miles and seconds per route and fare, for the zone and route rollups;
+- ``value_counts``: trips per value of each measure that reports take quantiles of;
 - one table of sums for each of the others, by the rollup's own keys.
 """
 
@@ -15,9 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.functions.exact import AMOUNT_STEP, RATIO_STEP, units
-from tripmill.operators import rollups
+from tripmill.operators import quantiles, rollups
 
-ROUTES = "route_fares"
+ROUTES, VALUES = "route_fares", "value_counts"
 # Low bits of a ratio's units; the high and the low ones are summed apart, as either sum fits a bigint.
 _LOW_BITS = 20
 _LOW = 1 << _LOW_BITS
@@ -135,12 +136,13 @@ SUMS = {
         ),
     ),
 }
-STATES = [ROUTES, *SUMS]
+STATES = [ROUTES, VALUES, *SUMS]
 
 
 def states(fact: DataFrame) -> dict[str, DataFrame]:
     """The state of a batch of trips."""
-    return {ROUTES: rollups.route_fares(fact)} | {name: rollup.state(fact) for name, rollup in SUMS.items()}
+    counted = {ROUTES: rollups.route_fares(fact), VALUES: quantiles.value_counts(fact)}
+    return counted | {name: rollup.state(fact) for name, rollup in SUMS.items()}
 
 
 def merged_routes(routes: DataFrame) -> DataFrame:
@@ -149,6 +151,11 @@ def merged_routes(routes: DataFrame) -> DataFrame:
     return routes.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n", "miles", "seconds")])
 
 
+def merged_values(counts: DataFrame) -> DataFrame:
+    """``value_counts`` of all batches together."""
+    return counts.groupBy("measure", "payment_type_id", "value").agg(F.sum("n").alias("n"))
+
+
 def merge(routes: DataFrame, sums: dict[str, DataFrame], min_od_trips: int) -> dict[str, DataFrame]:
     """All rollups from states; ``routes`` holds each route and fare once."""
     found = {name: SUMS[name].merge(state) for name, state in sums.items()}

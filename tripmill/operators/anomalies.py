@@ -99,25 +99,22 @@ def no_tip_expensive(t: TripTables, limit: int = 100) -> DataFrame:
     return top(rows, check_limit(limit), F.col("fare_amount").desc())
 
 
-def quantiles_of(trips: DataFrame, columns: list[str], shares: list[float]) -> Column:
-    """Exact quantiles of whole columns: a struct with an array of them per column.
+def quantiles_of(t: TripTables, measures: list[str], shares: list[float]) -> Column:
+    """Exact quantiles of counted measures: a struct with an array of them per measure.
 
-    All columns are counted in one pass. As a scalar subquery the result needs no join and
+    As a scalar subquery the result needs no join and
     is computed once. Where several values of it are used, attach it as a column first:
     every mention of the expression itself would be planned anew.
     """
-    pairs = [x for i, c in enumerate(columns) for x in (F.lit(i), F.col(c).cast("double"))]
-    long = trips.select(F.stack(F.lit(len(columns)), *pairs).alias("measure", "value"))
-    counts = long.groupBy("measure", "value").agg(F.count("*").alias("n"))
+    counts = t.value_counts.filter(F.col("measure").isin(measures)).select("measure", "value", "n")
     names = [f"q{i}" for i in range(len(shares))]
     found = grouped_quantiles(counts, ["measure"], "value", "n", dict(zip(names, shares)))
-    fields = [F.max(F.when(F.col("measure") == i, F.array(*names))).alias(c) for i, c in enumerate(columns)]
+    fields = [F.max(F.when(F.col("measure") == m, F.array(*names))).alias(m) for m in measures]
     return found.agg(F.struct(*fields).alias("result")).scalar()
 
 
 def _far(t: TripTables) -> Column:
-    usual = t.fact_trip.filter((_miles() > 0) & (_miles() < 200))
-    return _miles() > quantiles_of(usual, ["trip_distance"], [0.99])["trip_distance"][0]
+    return _miles() > quantiles_of(t, ["usual_distance"], [0.99])["usual_distance"][0]
 
 
 def extreme_distance(t: TripTables, limit: int = 100) -> DataFrame:
@@ -187,10 +184,10 @@ def outlier_percentiles(t: TripTables, limit: int = 200) -> DataFrame:
         "distance": ("trip_distance", "Very short trip", "Very long trip"),
         "duration": ("trip_duration_seconds", "Very fast trip", "Very slow trip"),
     }
-    ends = quantiles_of(trips, [column for column, _, _ in labels.values()], [0.01, 0.99])
+    ends = quantiles_of(t, list(labels), [0.01, 0.99])
     marks = {}
     for name, (column, low, high) in labels.items():
-        value, (first, last) = F.col(column), (F.col("ends")[column][i] for i in (0, 1))
+        value, (first, last) = F.col(column), (F.col("ends")[name][i] for i in (0, 1))
         marks[f"{name}_outlier"] = F.when(value < first, low).when(value > last, high)
     marked = trips.withColumn("ends", ends).withColumns(marks).filter(F.coalesce(*marks).isNotNull())
     rows = marked.select("trip_id", "pickup_datetime", "fare_amount", "trip_distance", _duration(), *marks)

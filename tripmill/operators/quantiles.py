@@ -94,3 +94,27 @@ def grouped_quantiles(
     return ranked.groupBy(*keys).agg(
         *[quantile(share, "_v", "_n").alias(name) for name, share in shares.items()]
     )
+
+
+# What is counted by value: which trips, which number of theirs, and whether per payment type.
+MEASURES = {
+    "usual_distance": ("trip_distance > 0 AND trip_distance < 200", "trip_distance", False),
+    "fare": ("fare_amount > 0 AND trip_distance > 0", "fare_amount", False),
+    "distance": ("fare_amount > 0 AND trip_distance > 0", "trip_distance", False),
+    "duration": ("fare_amount > 0 AND trip_distance > 0", "trip_duration_seconds", False),
+    "tip_percentage": ("fare_amount > 0 AND fare_amount < 500", "tip_percentage", True),
+}
+
+
+def value_counts(fact: DataFrame) -> DataFrame:
+    """(measure, payment_type_id, value, n): how many trips have each value of each measure.
+
+    One scan for all reports on quantiles of whole columns. Counts of several batches add up to those of
+    all trips. A measure that is not counted per payment type has none in its rows.
+    """
+    rows = [
+        f"'{name}', {'payment_type_id' if paid else 'CAST(NULL AS INT)'}, CASE WHEN {test} THEN CAST({value} AS DOUBLE) END"
+        for name, (test, value, paid) in MEASURES.items()
+    ]
+    long = fact.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS (measure, payment_type_id, value)")
+    return long.filter("value IS NOT NULL").groupBy("measure", "payment_type_id", "value").agg(F.count("*").alias("n"))

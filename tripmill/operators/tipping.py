@@ -69,12 +69,8 @@ def by_payment_type(t: TripTables) -> DataFrame:
     )
     # Counted by id, then named: a value may come twice in a group of that name, which the
     # ranks take in their stride.
-    counts = (
-        t.fact_trip.filter(fare_in_range())
-        .groupBy("payment_type_id", "tip_percentage")
-        .agg(F.count("*").alias("n"))
-    )
-    counts = with_payment_type(counts, t)
+    counts = t.value_counts.filter(F.col("measure") == "tip_percentage")
+    counts = with_payment_type(counts.withColumnRenamed("value", "tip_percentage"), t)
     shares = {"tip_pct_q25": 0.25, "tip_pct_median": 0.5, "tip_pct_q75": 0.75}
     quartiles = grouped_quantiles(counts, _PAYMENT, "tip_percentage", "n", shares)
     quartiles = quartiles.withColumnsRenamed({k: f"_{k}" for k in _PAYMENT})

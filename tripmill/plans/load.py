@@ -142,7 +142,8 @@ def merge_rollups(spark: SparkSession, path: str, settings: Settings | None = No
     listed = [r["load_batch"] for r in store.read_table(spark, path, "load_audit").select("load_batch").distinct().collect()]
     states = {n: store.read_state(spark, path, n).filter(F.col("load_batch").isin(listed)) for n in additive.STATES}
     routes = store.stage(additive.merged_routes(states.pop(additive.ROUTES)), path, "route_fares")
-    _write_together(additive.merge(routes, states, settings.min_od_trips), path)
+    values = additive.merged_values(states.pop(additive.VALUES))
+    _write_together({additive.VALUES: values} | additive.merge(routes, states, settings.min_od_trips), path)
 
 
 def refresh_rollups(spark: SparkSession, path: str, settings: Settings | None = None) -> None:

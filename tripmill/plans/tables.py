@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.config import Settings
-from tripmill.operators import clean, rollups
+from tripmill.operators import clean, quantiles, rollups
 from tripmill.sources import dimensions, store
 
 DIMENSIONS = ["dim_location", "dim_vendor", "dim_payment_type", "dim_rate_code"]
@@ -93,6 +93,10 @@ class TripTables:
     def route_fares(self) -> DataFrame:
         return self._provide("route_fares", lambda: rollups.route_fares(self.fact_trip))
 
+    @cached_property
+    def value_counts(self) -> DataFrame:
+        return self._provide("value_counts", lambda: quantiles.value_counts(self.fact_trip))
+
     @cached_property
     def mv_zone_pickup(self) -> DataFrame:
         return self._provide("mv_zone_pickup", lambda: rollups.zone_pickup(self.route_fares))
