@@ -259,6 +259,8 @@ def test_command_line(spark, tmp_path, month_file, capsys):
     assert json.loads(capsys.readouterr().out.strip())["pickup_count"] == 2
     main([*common, "profile", "profile_raw_quality", "--trips", files, "--zones", str(zones), "--json"])
     assert json.loads(capsys.readouterr().out.strip())["invalid_fares"] == 1
+    main([*common, "sql", "SELECT zone, pickup_count FROM zone_top_pickup(1)", "--tables", tables, "--json"])
+    assert json.loads(capsys.readouterr().out.strip())["pickup_count"] == 2
     new = str(tmp_path / "new")
     arguments = ["--zones", str(zones), "--tables", new, "--checkpoint", str(tmp_path / "seen")]
     main([*common, "new", "--folder", month_file.folder, *arguments])

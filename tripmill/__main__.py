@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tripmill.config import Settings
 from tripmill.operators import clean
-from tripmill.plans import catalog, load
+from tripmill.plans import catalog, load, sql
 from tripmill.plans.tables import SavedTables, TripTables
 from tripmill.session import build_session
 from tripmill.sources.dimensions import clean_zones, read_locations, read_zone_lookup
@@ -41,6 +41,13 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     new.add_argument("--tables", required=True)
     new.add_argument("--checkpoint", required=True)
 
+    free = actions.add_parser("sql", help="a query over loaded tables and reports, such as SELECT * FROM zone_top_pickup(5)")
+    free.add_argument("query")
+    free.add_argument("--tables", required=True)
+    free.add_argument("--json", action="store_true", help="one JSON object per row")
+    free.add_argument("--out", help="write all rows to this path, as Parquet or with --json as JSON")
+    free.add_argument("--rows", type=int, default=1000, help="most rows to print")
+
     for name, text in (("report", "a report over loaded tables"), ("profile", "a report over raw files")):
         report = actions.add_parser(name, help=text)
         report.add_argument("name", choices=sorted(catalog.REPORTS))
@@ -93,6 +100,9 @@ def main(argv: list[str] | None = None) -> None:
         zones = read_locations(spark, args.zones)
         load_new_files(spark, args.folder, zones, args.tables, args.checkpoint, settings).awaitTermination()
         load.merge_rollups(spark, args.tables, settings)
+    elif args.action == "sql":
+        sql.register(SavedTables(spark, args.tables, settings=settings))
+        _deliver(spark.sql(args.query), args)
     else:
         if args.action == "report":
             tables = SavedTables(spark, args.tables, settings=settings)

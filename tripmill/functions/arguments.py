@@ -6,8 +6,17 @@ from __future__ import annotations
 API_ROWS = 1000
 
 
-def check_limit(limit: int, most: int | None = None) -> int:
+class _Every:
+    """Instead of a limit: all rows, with their ``position`` in the order that the limit would cut."""
+
+
+EVERY = _Every()
+
+
+def check_limit(limit: int | _Every, most: int | None = None) -> int | _Every:
     """A row limit must be a whole number from 1, to ``most`` if that is given."""
+    if limit is EVERY:
+        return limit
     if not isinstance(limit, int) or limit < 1:
         raise ValueError(f"limit must be a whole number from 1, got {limit!r}")
     if most is not None and limit > most:
