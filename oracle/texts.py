@@ -512,8 +512,8 @@ def _profiles(s: Settings) -> dict[str, str]:
             GROUP BY ALL ORDER BY trip_count DESC, {columns} LIMIT 10"""
 
     return {
-        "profile_preview": """SELECT * FROM raw_trips ORDER BY tpep_pickup_datetime NULLS FIRST,
-            COLUMNS(lambda c: c <> 'tpep_pickup_datetime') NULLS FIRST LIMIT 10""",
+        "profile_preview": """SELECT * FROM raw_trips ORDER BY source_file NULLS FIRST, trip_id NULLS FIRST,
+            COLUMNS(lambda c: c NOT IN ('source_file', 'trip_id')) NULLS FIRST LIMIT 10""",
         "profile_row_count": "SELECT COUNT(*) AS total_trips FROM raw_trips",
         "profile_date_range": """SELECT MIN(tpep_pickup_datetime) AS first_trip,
             MAX(tpep_pickup_datetime) AS last_trip FROM raw_trips""",

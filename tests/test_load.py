@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import json
 import random
@@ -12,8 +13,8 @@ from pyspark.sql import functions as F
 from tripmill import SavedTables, Settings, TripTables
 from tripmill import schema as layouts
 from tripmill.__main__ import main
-from tripmill.operators import additive, clean, patterns, quality, zones
-from tripmill.plans import contract, load
+from tripmill.operators import additive, clean, patterns, quality, sketches, zones
+from tripmill.plans import catalog, contract, load
 from tripmill.plans.tables import ROLLUPS
 from tripmill.sources import store
 from tripmill.sources.trips import open_trips, read_trips
@@ -404,6 +405,22 @@ def test_rollups_from_states_equal_a_rebuild(spark, locations, tmp_path, month_f
     assert again.mv_vendor_performance.agg(F.sum("trip_count")).first()[0] == 700
 
 
+def test_sketches_are_kept_per_batch(spark, locations, tmp_path, month_file):
+    settings = dataclasses.replace(SETTINGS, sketches=True)
+    target = str(tmp_path / "tables")
+    month_file(1, *[{"fare_amount": 5.0 + k, "tip_amount": 1.0} for k in range(50)])
+    load.load(spark, open_trips(spark, month_file.folder), locations, target, settings)
+    month_file(2, *[{"fare_amount": 55.0 + k, "tip_amount": 1.0} for k in range(51)])
+    load_new_files(spark, month_file.folder, locations, target, str(tmp_path / "seen"), settings).awaitTermination()
+    load.merge_rollups(spark, target, settings)
+    stored = SavedTables(spark, target, settings=settings)
+    assert stored.value_sketches.select(sketches.quantile(F.col("fare"), 0.5)).first()[0] == 55.0
+    # Small sketches hold all values.
+    found = catalog.run("tipping_by_payment_type", stored, approx=True).first()
+    assert found["tip_pct_median"] == pytest.approx(100 / 55)
+    assert "load_batch" not in stored.value_sketches.columns
+
+
 def test_states_read_new_partitions_only(spark, locations, tmp_path, month_file):
     month_file(1, {}, {})
     target = str(tmp_path / "tables")

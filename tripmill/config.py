@@ -19,3 +19,5 @@ class Settings:
     min_od_trips: int = 100
     min_pair_trips: int = 500
     min_airport_trips: int = 50
+    # Whether loads keep sketches of values beside exact counts, for reports asked for with ``approx``.
+    sketches: bool = False

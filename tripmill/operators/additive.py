@@ -5,7 +5,8 @@ all trips. Medians come from counted fares. What is kept per batch:
 
 - ``route_fares``: trips, miles and seconds per route and fare, for the zone and route rollups;
 - ``value_counts``: trips per value of each measure that reports take quantiles of;
-- one table of sums for each of the others, by the rollup's own keys.
+- one table of sums for each of the others, by the rollup's own keys;
+- if wanted, sketches of the values of each measure, which are mergeable as well.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.functions.exact import AMOUNT_STEP, RATIO_STEP, units
-from tripmill.operators import quantiles, rollups
+from tripmill.operators import quantiles, rollups, sketches
 
 ROUTES, VALUES = "route_fares", "value_counts"
 # Low bits of a ratio's units; the high and the low ones are summed apart, as either sum fits a bigint.
@@ -139,9 +140,15 @@ SUMS = {
 STATES = [ROUTES, VALUES, *SUMS]
 
 
-def states(fact: DataFrame) -> dict[str, DataFrame]:
+# How sketches of batches become those of all trips.
+SKETCHES = {"value_sketches": sketches.merged_values, "payment_sketches": sketches.merged_payments}
+
+
+def states(fact: DataFrame, with_sketches: bool = False) -> dict[str, DataFrame]:
     """The state of a batch of trips."""
     counted = {ROUTES: rollups.route_fares(fact), VALUES: quantiles.value_counts(fact)}
+    if with_sketches:
+        counted |= {name: getattr(sketches, name)(fact) for name in SKETCHES}
     return counted | {name: rollup.state(fact) for name, rollup in SUMS.items()}
 
 

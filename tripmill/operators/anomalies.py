@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tripmill.functions.arguments import API_ROWS, check_limit
 from tripmill.functions.exact import count_where, minutes, percent, round_half_up
 from tripmill.functions.ranking import top
+from tripmill.operators import sketches
 from tripmill.operators.quantiles import grouped_quantiles
 from tripmill.operators.star import with_both_zones, with_payment_type, with_rate_code
 from tripmill.plans.tables import TripTables
@@ -99,13 +100,16 @@ def no_tip_expensive(t: TripTables, limit: int = 100) -> DataFrame:
     return top(rows, check_limit(limit), F.col("fare_amount").desc())
 
 
-def quantiles_of(t: TripTables, measures: list[str], shares: list[float]) -> Column:
-    """Exact quantiles of counted measures: a struct with an array of them per measure.
+def quantiles_of(t: TripTables, measures: list[str], shares: list[float], approx: bool = False) -> Column:
+    """Quantiles of measures, exact from counts or about right from sketches: a struct with an array per measure.
 
     As a scalar subquery the result needs no join and
     is computed once. Where several values of it are used, attach it as a column first:
     every mention of the expression itself would be planned anew.
     """
+    if approx:
+        arrays = [F.array(*[sketches.quantile(F.col(m), s) for s in shares]).alias(m) for m in measures]
+        return t.value_sketches.select(F.struct(*arrays).alias("result")).scalar()
     counts = t.value_counts.filter(F.col("measure").isin(measures)).select("measure", "value", "n")
     names = [f"q{i}" for i in range(len(shares))]
     found = grouped_quantiles(counts, ["measure"], "value", "n", dict(zip(names, shares)))
@@ -113,12 +117,12 @@ def quantiles_of(t: TripTables, measures: list[str], shares: list[float]) -> Col
     return found.agg(F.struct(*fields).alias("result")).scalar()
 
 
-def _far(t: TripTables) -> Column:
-    return _miles() > quantiles_of(t, ["usual_distance"], [0.99])["usual_distance"][0]
+def _far(t: TripTables, approx: bool = False) -> Column:
+    return _miles() > quantiles_of(t, ["usual_distance"], [0.99], approx)["usual_distance"][0]
 
 
-def extreme_distance(t: TripTables, limit: int = 100) -> DataFrame:
-    rows = _zoned(t, t.fact_trip.filter(_far(t))).select(
+def extreme_distance(t: TripTables, limit: int = 100, approx: bool = False) -> DataFrame:
+    rows = _zoned(t, t.fact_trip.filter(_far(t, approx))).select(
         "trip_id",
         "pickup_datetime",
         "pickup_zone",
@@ -155,14 +159,14 @@ def _tip_possible(t: TripTables) -> DataFrame:
     return t.fact_trip.join(payment, "payment_type_id", "left").join(rate, "rate_code_id", "left")
 
 
-def summary(t: TripTables) -> DataFrame:
+def summary(t: TripTables, approx: bool = False) -> DataFrame:
     """Five kinds of anomaly counted in one pass, one row per kind."""
     # Names of the kinds.
     kinds = {
         "High fare per mile (>$50/mi)": (_miles() > 0) & _dear_per_mile(),
         "Severe traffic (<2 mph, >30 min)": _stuck(),
         "No tip on expensive trip (>$50)": _dear_untipped() & F.col("allows_tip"),
-        "Extreme distance (>99th percentile)": _far(t),
+        "Extreme distance (>99th percentile)": _far(t, approx),
         "Round negotiated fares": _fare().isin(ROUND_FARES) & F.col("is_standard"),
     }
     counted = _tip_possible(t).agg(
@@ -175,7 +179,7 @@ def summary(t: TripTables) -> DataFrame:
     ).orderBy(F.col("anomaly_count").desc(), "anomaly_type")
 
 
-def outlier_percentiles(t: TripTables, limit: int = 200) -> DataFrame:
+def outlier_percentiles(t: TripTables, limit: int = 200, approx: bool = False) -> DataFrame:
     """Newest trips outside the 1st to 99th percentile of fare, distance or duration."""
     trips = t.fact_trip.filter((_fare() > 0) & (_miles() > 0))
     # Labels for values below the first and above the last percentile.
@@ -184,7 +188,7 @@ def outlier_percentiles(t: TripTables, limit: int = 200) -> DataFrame:
         "distance": ("trip_distance", "Very short trip", "Very long trip"),
         "duration": ("trip_duration_seconds", "Very fast trip", "Very slow trip"),
     }
-    ends = quantiles_of(t, list(labels), [0.01, 0.99])
+    ends = quantiles_of(t, list(labels), [0.01, 0.99], approx)
     marks = {}
     for name, (column, low, high) in labels.items():
         value, (first, last) = F.col(column), (F.col("ends")[name][i] for i in (0, 1))

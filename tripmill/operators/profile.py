@@ -15,9 +15,19 @@ from tripmill.sources import trips
 
 
 def preview(t: TripTables, rows: int = 10) -> DataFrame:
-    """The first trips in order of pickup, ties by all columns."""
-    columns = [c for c in t.raw.columns if c != "tpep_pickup_datetime"]
-    return trips.preview(t.raw.orderBy("tpep_pickup_datetime", *columns), rows)
+    """The first trips of the first file by name, in the order of the file; ties, if any, by all columns.
+
+    Trips from files have their position in them, and then only the first file is looked into, unless it has
+    too few trips. Trips from tables are taken in the order of their ids.
+    """
+    raw, place = t.raw, "trip_id"
+    if "source_row" in raw.columns and (files := sorted(raw.inputFiles())):
+        place, raw = "source_row", raw.filter(F.col("source_row") < rows)
+        # The same path may be spelt with one or three slashes after its scheme.
+        first = raw.filter(F.col("source_file").endswith("/" + files[0].partition(":")[2].lstrip("/")))
+        raw = first if len(first.select(place).take(rows)) == rows else raw
+    columns = [c for c in raw.columns if c not in ("source_file", place)]
+    return trips.preview(raw.orderBy("source_file", place, *columns), rows)
 
 
 def schema(t: TripTables) -> DataFrame:

@@ -18,6 +18,7 @@ from tripmill.functions.exact import (
     round_half_up,
 )
 from tripmill.functions.ranking import over_all
+from tripmill.operators import sketches
 from tripmill.operators.quantiles import grouped_quantiles
 from tripmill.operators.rollups import fare_in_range
 from tripmill.operators.star import with_payment_type
@@ -50,8 +51,8 @@ def _paid(t: TripTables) -> DataFrame:
     return with_payment_type(t.fact_trip.filter(fare_in_range()), t)
 
 
-def by_payment_type(t: TripTables) -> DataFrame:
-    """Share, tips and tip quartiles per payment type.
+def by_payment_type(t: TripTables, approx: bool = False) -> DataFrame:
+    """Share, tips and tip quartiles per payment type; with ``approx`` the quartiles come from sketches.
 
     The sums shuffle a handful of rows. The quartiles need every distinct ratio, and ratios
     are as good as unbounded, hence the operator that never gathers a group in one task.
@@ -69,10 +70,14 @@ def by_payment_type(t: TripTables) -> DataFrame:
     )
     # Counted by id, then named: a value may come twice in a group of that name, which the
     # ranks take in their stride.
-    counts = t.value_counts.filter(F.col("measure") == "tip_percentage")
-    counts = with_payment_type(counts.withColumnRenamed("value", "tip_percentage"), t)
     shares = {"tip_pct_q25": 0.25, "tip_pct_median": 0.5, "tip_pct_q75": 0.75}
-    quartiles = grouped_quantiles(counts, _PAYMENT, "tip_percentage", "n", shares)
+    if approx:
+        tips = with_payment_type(t.payment_sketches, t).groupBy(*_PAYMENT).agg(sketches.merge("tip_percentage").alias("tips"))
+        quartiles = tips.select(*_PAYMENT, *[sketches.quantile(F.col("tips"), s).alias(n) for n, s in shares.items()])
+    else:
+        counts = t.value_counts.filter(F.col("measure") == "tip_percentage")
+        counts = with_payment_type(counts.withColumnRenamed("value", "tip_percentage"), t)
+        quartiles = grouped_quantiles(counts, _PAYMENT, "tip_percentage", "n", shares)
     quartiles = quartiles.withColumnsRenamed({k: f"_{k}" for k in _PAYMENT})
     same = reduce(Column.__and__, [F.col(k) == F.col(f"_{k}") for k in _PAYMENT])
     joined = grouped.join(quartiles, same, "left").drop(*[f"_{k}" for k in _PAYMENT])

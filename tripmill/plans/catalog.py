@@ -18,6 +18,7 @@ from tripmill.operators import (
     profile,
     quality,
     rollups,
+    sketches,
     tipping,
     vendors,
     zones,
@@ -32,10 +33,16 @@ def _rollup(build: Callable[[DataFrame], DataFrame]) -> Report:
 
 
 ROLLUP_REPORTS: dict[str, Report] = {
-    "mv_zone_pickup": lambda t: rollups.zone_pickup(t.route_fares),
+    "mv_zone_pickup": lambda t, approx=False: (
+        sketches.zone_pickup(t.fact_trip) if approx else rollups.zone_pickup(t.route_fares)
+    ),
     "mv_zone_dropoff": lambda t: rollups.zone_dropoff(t.route_fares),
     "mv_hourly_demand": _rollup(rollups.hourly_demand),
-    "mv_od_flows": lambda t: rollups.od_flows(t.route_fares, t.settings.min_od_trips),
+    "mv_od_flows": lambda t, approx=False: (
+        sketches.od_flows(t.fact_trip, t.settings.min_od_trips)
+        if approx
+        else rollups.od_flows(t.route_fares, t.settings.min_od_trips)
+    ),
     "mv_vendor_performance": _rollup(rollups.vendor_performance),
     "mv_payment_patterns": _rollup(rollups.payment_patterns),
     "summary_statistics": _rollup(rollups.summary_statistics),

@@ -103,7 +103,7 @@ def load_trips(
         for table in ("load_audit", "fact_trip"):
             store.delete(spark, f"{path}/{table}/load_batch={batch}")
         raise contract.ContractError(violations)
-    write_states(spark, path, batch, everything)
+    write_states(spark, path, batch, everything, settings.sketches)
     store.write_audit(staged, path, batch, everything)
     for name in (f"{batch}-trips", f"{batch}-files", batch):
         store.delete(spark, f"{pending}/{name}")
@@ -126,10 +126,10 @@ def loaded_files(spark: SparkSession, path: str) -> DataFrame | None:
     return audit
 
 
-def write_states(spark: SparkSession, path: str, batch: str, replace_all: bool) -> None:
+def write_states(spark: SparkSession, path: str, batch: str, replace_all: bool, with_sketches: bool = False) -> None:
     """Sums of one batch for the rollups, from that batch's partitions of the fact table alone."""
     trips = store.read_table(spark, path, "fact_trip").filter(F.col("load_batch") == batch)
-    found = additive.states(trips)
+    found = additive.states(trips, with_sketches)
     with ThreadPoolExecutor(_JOBS_AT_ONCE) as pool:
         written = [pool.submit(store.write_state, df, path, name, batch, replace_all) for name, df in found.items()]
         for job in written:
@@ -140,10 +140,12 @@ def merge_rollups(spark: SparkSession, path: str, settings: Settings | None = No
     """Write the rollups and the summary from the states of all complete batches; the fact table is not read."""
     settings = settings or Settings()
     listed = [r["load_batch"] for r in store.read_table(spark, path, "load_audit").select("load_batch").distinct().collect()]
-    states = {n: store.read_state(spark, path, n).filter(F.col("load_batch").isin(listed)) for n in additive.STATES}
+    kept = [*additive.STATES, *(additive.SKETCHES if settings.sketches else [])]
+    states = {n: store.read_state(spark, path, n).filter(F.col("load_batch").isin(listed)) for n in kept}
     routes = store.stage(additive.merged_routes(states.pop(additive.ROUTES)), path, "route_fares")
-    values = additive.merged_values(states.pop(additive.VALUES))
-    _write_together({additive.VALUES: values} | additive.merge(routes, states, settings.min_od_trips), path)
+    merged = {additive.VALUES: additive.merged_values(states.pop(additive.VALUES))}
+    merged |= {n: merge(states.pop(n)) for n, merge in additive.SKETCHES.items() if n in states}
+    _write_together(merged | additive.merge(routes, states, settings.min_od_trips), path)
 
 
 def refresh_rollups(spark: SparkSession, path: str, settings: Settings | None = None) -> None:
@@ -151,9 +153,10 @@ def refresh_rollups(spark: SparkSession, path: str, settings: Settings | None =
 
     Loads keep the states up to date and need ``merge_rollups`` only; this is for tables whose states are lost.
     """
+    settings = settings or Settings()
     listed = store.read_table(spark, path, "load_audit").select("load_batch").distinct().collect()
     for row in listed:
-        write_states(spark, path, row["load_batch"], False)
+        write_states(spark, path, row["load_batch"], False, settings.sketches)
     merge_rollups(spark, path, settings)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.config import Settings
-from tripmill.operators import clean, quantiles, rollups
+from tripmill.operators import clean, quantiles, rollups, sketches
 from tripmill.sources import dimensions, store
 
 DIMENSIONS = ["dim_location", "dim_vendor", "dim_payment_type", "dim_rate_code"]
@@ -21,6 +21,7 @@ ROLLUPS = [
     "mv_vendor_performance",
     "mv_payment_patterns",
 ]
+SKETCHES = ["value_sketches", "payment_sketches"]
 # Order in which the load reports its tables.
 REPORTED = ["fact_trip", *DIMENSIONS, *ROLLUPS]
 
@@ -97,6 +98,14 @@ class TripTables:
     def value_counts(self) -> DataFrame:
         return self._provide("value_counts", lambda: quantiles.value_counts(self.fact_trip))
 
+    @cached_property
+    def value_sketches(self) -> DataFrame:
+        return self._provide("value_sketches", lambda: sketches.value_sketches(self.fact_trip))
+
+    @cached_property
+    def payment_sketches(self) -> DataFrame:
+        return self._provide("payment_sketches", lambda: sketches.payment_sketches(self.fact_trip))
+
     @cached_property
     def mv_zone_pickup(self) -> DataFrame:
         return self._provide("mv_zone_pickup", lambda: rollups.zone_pickup(self.route_fares))
@@ -142,7 +151,9 @@ class SavedTables(TripTables):
         self.path = path
 
     def _provide(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        return build() if name == "fact_trip" else store.read_table(self.spark, self.path, name)
+        # Sketches are stored only where the load was asked for them.
+        planned = name == "fact_trip" or name in SKETCHES and not self.settings.sketches
+        return build() if planned else store.read_table(self.spark, self.path, name)
 
 
 class StagedTables(TripTables):

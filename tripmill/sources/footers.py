@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, TimestampType
 
+# What runs in tasks travels by value, so that workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Files in a task at least, and tasks per core at most.
 _FILES, _TASKS = 16, 4
 _AT_ONCE = 16
