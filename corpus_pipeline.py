@@ -2,6 +2,12 @@
 
 Every stage takes the documents that its predecessor kept and returns the columns of ``documents``; the last
 one returns them with the bin that each piece of text is packed into.
+
+Cases, for every stage: a null text is as clean as an empty one, stays null, and takes no room in a bin; a null doc_id,
+lang or n_chars is carried along; a null source is a source of its own when sources are mixed and conflicts with nothing
+in a bin. Repeated rows are near copies, of which one stays; among equal texts it is that of the smallest doc_id. Texts of any
+length are read whole. Empty tables give no rows, and without labels of both kinds nothing is rejected.
+Columns beyond those of ``documents``, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -16,10 +22,15 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Toxicity (5): documents that reach the rejection score go. The model learns from the labels of the corpus."""
+    """Toxicity (5): documents with a toxic passage that reach the rejection score go.
+
+    The model learns from the labels of the corpus. Where many of these are toxic and words say little about them, the score
+    of any document is high; without a passage that is no reason to reject it.
+    """
     common.small_batches(spark)
     model = toxicity.train(docs, common.read_table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).filter(F.col("toxic_score") < toxicity.REJECT_AT).select(COLUMNS)
+    rejected = (F.col("toxic_score") >= toxicity.REJECT_AT) & (F.size("passages") > 0)
+    return toxicity.score(docs, model).filter(~rejected).select(COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
