@@ -269,6 +269,22 @@ def test_command_line(spark, tmp_path, month_file, capsys):
     assert '{"table_name":"fact_trip","row_count":2}' in capsys.readouterr().out
 
 
+@pytest.mark.parametrize("incremental", [False, True])
+def test_cbd_fee_of_files_that_have_it(spark, locations, tmp_path, month_file, incremental):
+    first = month_file(1, {})
+    month_file(2, {})
+    spark.read.parquet(first).withColumn("cbd_congestion_fee", F.lit(0.75).cast("float")).coalesce(1).write.parquet(f"{month_file.folder}/new")
+    for wanted, fees in ((True, [0.0, 0.0, 0.75]), (False, [0.0, 0.0, 0.0])):
+        target = str(tmp_path / f"tables-{wanted}")
+        if incremental:
+            settings = dataclasses.replace(SETTINGS, cbd_fee=wanted)
+            load_new_files(spark, month_file.folder, locations, target, f"{target}-seen", settings).awaitTermination()
+        else:
+            load.load(spark, open_trips(spark, month_file.folder, cbd_fee=wanted), locations, target, SETTINGS)
+        fact = SavedTables(spark, target, settings=SETTINGS).fact_trip
+        assert sorted(r[0] for r in fact.select("cbd_congestion_fee").collect()) == fees
+
+
 def tear(path: str) -> None:
     """Spoil the middle of a file's data; its footer stays as it is."""
     with open(path, "r+b") as file:

@@ -40,6 +40,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     new.add_argument("--zones", required=True)
     new.add_argument("--tables", required=True)
     new.add_argument("--checkpoint", required=True)
+    for loading in (whole, new):
+        loading.add_argument("--cbd-fee", action="store_true", help="read the cbd_congestion_fee of files that have it")
 
     free = actions.add_parser("sql", help="a query over loaded tables and reports, such as SELECT * FROM zone_top_pickup(5)")
     free.add_argument("query")
@@ -88,10 +90,10 @@ def _deliver(df, args: argparse.Namespace) -> None:
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     spark = build_session()
-    settings = Settings(home=args.home)
+    settings = Settings(home=args.home, cbd_fee=getattr(args, "cbd_fee", False))
     if args.action == "load":
         zones = read_locations(spark, args.zones)
-        tables = load.load(spark, open_trips(spark, *args.trips), zones, args.tables, settings)
+        tables = load.load(spark, open_trips(spark, *args.trips, cbd_fee=args.cbd_fee), zones, args.tables, settings)
         _print(tables.load_audit.orderBy("source_file"), args.rows, False)
         clean.audit_totals(tables.load_audit).show()
         catalog.run("load_table_counts", tables).show(truncate=False)

@@ -21,3 +21,5 @@ class Settings:
     min_airport_trips: int = 50
     # Whether loads keep sketches of values beside exact counts, for reports asked for with ``approx``.
     sketches: bool = False
+    # Whether the incremental load reads the central business district fee; a load takes what its files were opened with.
+    cbd_fee: bool = False

@@ -231,6 +231,9 @@ def build_fact(trips: DataFrame) -> DataFrame:
     weekday = F.dayofweek(pickup) - 1  # Sunday is 0
     fare, miles, tip = F.col("fare_amount"), F.col("trip_distance"), F.col("tip_amount")
     hours = F.col("trip_duration_seconds") / F.lit(3600.0)
+    # 0 unless the raw trips were opened with the fee, and in files that have none.
+    known = "cbd_congestion_fee" in trips.columns
+    cbd_fee = F.coalesce("cbd_congestion_fee", F.lit(0.0)) if known else F.lit(0.0)
     plain = trips.select(
         "trip_id",
         F.col("VendorID").alias("vendor_id"),
@@ -256,7 +259,7 @@ def build_fact(trips: DataFrame) -> DataFrame:
         "total_amount",
         "congestion_surcharge",
         "airport_fee",
-        F.lit(0.0).alias("cbd_congestion_fee"),
+        cbd_fee.alias("cbd_congestion_fee"),
         "store_and_fwd_flag",
         "source_file",
         "source_period",

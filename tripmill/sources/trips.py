@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegralType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegralType, LongType, StringType, StructField, StructType
 
 from tripmill import schema
 from tripmill.sources import footers
@@ -20,7 +20,11 @@ FILES = StructType(
 )
 
 
-def conform(df: DataFrame) -> DataFrame:
+# Columns that only some years have, and that are loaded where they are asked for.
+CBD_FEE = StructField("cbd_congestion_fee", DoubleType())
+
+
+def conform(df: DataFrame, more: Sequence[StructField] = ()) -> DataFrame:
     """Project any yearly variant of the raw files onto the raw schema.
 
     Names match without regard to case; a column absent from the files is NULL. A column
@@ -30,7 +34,7 @@ def conform(df: DataFrame) -> DataFrame:
     """
     present = {f.name.lower(): f for f in df.schema}
     columns = []
-    for field in schema.RAW_TRIPS:
+    for field in [*schema.RAW_TRIPS, *more]:
         found = present.get(field.name.lower())
         if found is None:
             column = F.lit(None).cast(field.dataType)
@@ -64,14 +68,15 @@ def list_files(spark: SparkSession, *paths: str) -> list[str]:
     return sorted(spark.read.option("recursiveFileLookup", "true").text(list(paths)).inputFiles())
 
 
-def open_trips(spark: SparkSession, *paths: str) -> TripFiles:
+def open_trips(spark: SparkSession, *paths: str, cbd_fee: bool = False) -> TripFiles:
     """Look at the footer of every file, in one job, and read files of the same layout together.
 
-    Each file keeps its own column types, so a column that only later files have, or that changes its
+    With ``cbd_fee`` the fee of that name is read from the files that have it; otherwise loads set it to 0. Each file keeps its own column types, so a column that only later files have, or that changes its
     type, loses no values. A file whose footer cannot be read is set aside and named.
     """
-    found = _footers(spark, paths)
-    raw = _read(spark, found, {"ignoreCorruptFiles": "true"})
+    more = [CBD_FEE] if cbd_fee else []
+    found = _footers(spark, paths, more)
+    raw = _read(spark, found, {"ignoreCorruptFiles": "true"}, more)
     known = [f for group in found.layouts.values() for f in group]
     rows = [(f.source_file, f.rows, f.ends) for f in known]
     return TripFiles(raw, spark.createDataFrame(rows, FILES), found.unreadable)
@@ -89,19 +94,21 @@ def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
     return _read(spark, found, {})
 
 
-def _footers(spark: SparkSession, paths: Sequence[str]) -> footers.Footers:
+def _footers(spark: SparkSession, paths: Sequence[str], more: Sequence[StructField] = ()) -> footers.Footers:
     if not paths:
         raise ValueError("no trip files given")
-    return footers.look_at(spark, paths, schema.RAW_TRIPS.names)
+    return footers.look_at(spark, paths, [*schema.RAW_TRIPS.names, *[f.name for f in more]])
 
 
-def _read(spark: SparkSession, found: footers.Footers, options: dict[str, str]) -> DataFrame:
+def _read(
+    spark: SparkSession, found: footers.Footers, options: dict[str, str], more: Sequence[StructField] = ()
+) -> DataFrame:
     parts = []
     for layout, own in found.layouts.items():
         reader = spark.read.options(**options).schema(StructType.fromJson(json.loads(layout)))
-        parts.append(conform(with_origin(reader.parquet(*[f.path for f in own]))))
+        parts.append(conform(with_origin(reader.parquet(*[f.path for f in own])), more))
     if not parts:
-        parts = [spark.createDataFrame([], StructType([*schema.RAW_TRIPS, *schema.RAW_ORIGIN]))]
+        parts = [spark.createDataFrame([], StructType([*schema.RAW_TRIPS, *more, *schema.RAW_ORIGIN]))]
     return reduce(DataFrame.unionByName, parts)
 
 

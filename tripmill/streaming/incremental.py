@@ -54,7 +54,7 @@ def load_new_files(
         session = files.sparkSession
         paths = [r["path"] for r in files.select("path").collect()]
         if paths:
-            found = open_trips(session, *paths)
+            found = open_trips(session, *paths, cbd_fee=settings.cbd_fee)
             load.load_trips(session, found, path, settings, f"{stream}-{batch_id}")
 
     arrivals = spark.readStream.format("binaryFile").schema(_ARRIVAL).option("recursiveFileLookup", "true")
