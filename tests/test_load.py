@@ -14,7 +14,7 @@ from tripmill import SavedTables, Settings, TripTables
 from tripmill import schema as layouts
 from tripmill.__main__ import main
 from tripmill.operators import additive, clean, patterns, quality, sketches, zones
-from tripmill.plans import catalog, contract, load
+from tripmill.plans import catalog, compaction, contract, load
 from tripmill.plans.tables import ROLLUPS
 from tripmill.sources import store
 from tripmill.sources.trips import open_trips, read_trips
@@ -475,3 +475,55 @@ def test_contract_reads_no_earlier_batches(spark, locations, tmp_path, month_fil
     load.load_trips(spark, open_trips(spark, month_file(2, {}, {})), target, SETTINGS, "a-2")
     read = scanned_rows(spark, lambda: contract.batch_violations(spark, target, "a-2", ["a-1"]))
     assert read < 100
+
+
+def test_compaction(spark, locations, tmp_path, month_file):
+    """Small batches become few files; readers see the same trips before, in between and after."""
+    target = str(tmp_path / "tables")
+    month_file(1, *[{"fare_amount": 5.0 + k} for k in range(40)])
+    month_file(2, *[{"fare_amount": 7.0 + k} for k in range(40)])
+    load.load(spark, open_trips(spark, month_file.folder), locations, target, SETTINGS)
+    whole = SavedTables(spark, target, settings=SETTINGS)
+    trips = store.read_table(spark, target, "fact_trip").drop("load_batch")
+    audit = store.read_table(spark, target, "load_audit").limit(1)
+    for k in range(12):
+        store.write_fact(trips.withColumn("trip_id", F.col("trip_id") + (k + 10) * (1 << 50)), target, f"small-{k}", False)
+        store.write_audit(audit.withColumn("file_no", F.lit(k + 10).cast("bigint")), target, f"small-{k}", False)
+
+    def rows():
+        return sorted(map(repr, SavedTables(spark, target, settings=SETTINGS).fact_trip.collect()))
+
+    before, files = rows(), store.fact_files(spark, target).count()
+    assert len(before) == 13 * 80 and files >= 26
+    started = SavedTables(spark, target, settings=SETTINGS).fact_trip
+    # A compaction that breaks off before its record has written files that nobody reads.
+    write, store.write_compaction = store.write_compaction, lambda *_: (_ for _ in ()).throw(OSError("broke off"))
+    try:
+        with pytest.raises(OSError):
+            compaction.compact(spark, target)
+    finally:
+        store.write_compaction = write
+    assert rows() == before
+    name = compaction.compact(spark, target)
+    assert rows() == before == sorted(map(repr, started.collect()))
+    assert store.visible_batches(spark, target) == [name]
+    assert store.fact_files(spark, target).filter(F.col("load_batch") == name).count() == 2
+    assert len(compaction.drop_replaced(spark, target)) == 13
+    assert rows() == before
+    assert compaction.compact(spark, target) is None
+    # Loads go on: a batch that was complete is not loaded again, new ones are, and they are compacted with the others.
+    load.load_trips(spark, open_trips(spark, month_file.folder), target, SETTINGS, "small-3")
+    assert rows() == before
+    month_file(3, {}, {})
+    load.load_trips(spark, open_trips(spark, month_file.folder), target, SETTINGS, "later-1")
+    assert len(rows()) == len(before) + 2
+    assert compaction.compact(spark, target) is not None
+    assert len(rows()) == len(before) + 2
+    assert whole.load_audit.count() == 15
+    load.refresh_rollups(spark, target, SETTINGS)
+    for _ in range(2):
+        t = SavedTables(spark, target, settings=SETTINGS)
+        assert t.mv_vendor_performance.agg(F.sum("trip_count")).first()[0] == len(before) + 2
+        month_file(4, {})
+        compaction.compact(spark, target)
+        load.merge_rollups(spark, target, SETTINGS)

@@ -9,7 +9,7 @@ from conftest import TESTDATA
 
 import __spark_entry__ as entries
 from tripmill import TripTables
-from tripmill.operators import anomalies, flows, profile, vendors
+from tripmill.operators import anomalies, flows, profile, tipping, vendors
 from tripmill.plans import catalog, staging
 
 
@@ -84,12 +84,20 @@ def staged_copy(spark, staged):
     )
 
 
-def test_summary_reads_trips_once_besides_the_percentile(staged):
+def test_summary_reads_trips_once(staged):
+    """The percentile comes from counted values, which four reports share."""
     scans = re.findall(r"FileScan parquet \[[^\]]*\]", plan_of(anomalies.summary(staged)))
     assert len({s for s in scans if "rate_code_id" in s}) == 1
-    # The partition column is listed with every scan and costs nothing.
-    others = [re.sub(r"pickup_month#\d+", "", s) for s in scans if "rate_code_id" not in s]
-    assert all(s.count("#") == 1 for s in others)
+    others = [set(re.findall(r"(\w+)#", s)) for s in scans if "rate_code_id" not in s]
+    assert others and all(columns <= {"measure", "value", "n"} for columns in others)
+
+
+def test_reports_on_quantiles_share_one_scan_of_trips(staged):
+    for report in (anomalies.extreme_distance, anomalies.outlier_percentiles, tipping.by_payment_type):
+        plan = plan_of(report(staged))
+        locations = re.findall(r"Location: InMemoryFileIndex[^,]*?/(\w+)\]", plan)
+        assert locations.count("fact_trip") <= 1, locations
+        assert "value_counts" in locations
 
 
 def test_top_k_is_not_a_full_sort(staged):

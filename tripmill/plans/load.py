@@ -69,6 +69,8 @@ def load_trips(
     taken back before it is listed. Files that an earlier batch lists
     are left alone, and file numbers go on from the highest one listed.
     """
+    if batch != BULK and batch in store.replaced_batches(spark, path):
+        return  # It is complete, and its trips lie in files shared with other batches by now.
     ids = clean.home_ids(store.read_table(spark, path, "dim_location"), settings.home)
     everything, first, pending = batch == BULK, 0, f"{path}/load_pending"
     trips, files = (raw.raw, raw.files) if isinstance(raw, TripFiles) else (raw, files_of(raw))
@@ -96,8 +98,8 @@ def load_trips(
         # A table is never seen with the new trips and the old audit, or the other way round.
         store.write_audit(staged.limit(0), path, batch, True)
     store.write_fact(clean.build_fact(accepted), path, batch, everything)
-    listed = [] if earlier is None else [r["load_batch"] for r in earlier.select("load_batch").distinct().collect()]
-    violations = contract.batch_violations(spark, path, batch, listed)
+    known = [] if earlier is None else [b for b in store.visible_batches(spark, path) if b != batch]
+    violations = contract.batch_violations(spark, path, batch, known)
     if violations:
         # A batch that is loaded again has replaced its former trips, so it is no longer listed either.
         for table in ("load_audit", "fact_trip"):
@@ -139,7 +141,9 @@ def write_states(spark: SparkSession, path: str, batch: str, replace_all: bool,
 def merge_rollups(spark: SparkSession, path: str, settings: Settings | None = None) -> None:
     """Write the rollups and the summary from the states of all complete batches; the fact table is not read."""
     settings = settings or Settings()
+    # The state of a batch outlives the compaction of its trips; states made anew belong to the batch that stands for others.
     listed = [r["load_batch"] for r in store.read_table(spark, path, "load_audit").select("load_batch").distinct().collect()]
+    listed = [*listed, *store.visible_batches(spark, path), *store.replaced_batches(spark, path)]
     kept = [*additive.STATES, *(additive.SKETCHES if settings.sketches else [])]
     states = {n: store.read_state(spark, path, n).filter(F.col("load_batch").isin(listed)) for n in kept}
     routes = store.stage(additive.merged_routes(states.pop(additive.ROUTES)), path, "route_fares")
@@ -154,9 +158,9 @@ def refresh_rollups(spark: SparkSession, path: str, settings: Settings | None =
     Loads keep the states up to date and need ``merge_rollups`` only; this is for tables whose states are lost.
     """
     settings = settings or Settings()
-    listed = store.read_table(spark, path, "load_audit").select("load_batch").distinct().collect()
-    for row in listed:
-        write_states(spark, path, row["load_batch"], False, settings.sketches)
+    store.delete(spark, f"{path}/rollup_state")
+    for batch in store.visible_batches(spark, path):
+        write_states(spark, path, batch, False, settings.sketches)
     merge_rollups(spark, path, settings)
 
 

@@ -144,9 +144,8 @@ class SavedTables(TripTables):
         self, spark: SparkSession, path: str, raw: DataFrame | None = None, settings: Settings | None = None
     ) -> None:
         # Rows of a load that broke off are in no batch that the audit lists.
-        listed = store.read_table(spark, path, "load_audit").select("load_batch").distinct().collect()
         fact = store.read_table(spark, path, "fact_trip")
-        fact = fact.filter(F.col("load_batch").isin([r["load_batch"] for r in listed])).drop("load_batch")
+        fact = fact.filter(F.col("load_batch").isin(store.visible_batches(spark, path))).drop("load_batch")
         super().__init__(spark, store.read_table(spark, path, "dim_location"), raw, fact, settings)
         self.path = path
 

@@ -12,6 +12,8 @@ from tripmill import schema
 # wrote a row. A load that is run again replaces exactly its own rows.
 FACT_PARTITIONS = ["load_batch", "pickup_month"]
 _MORE = [StructField(n, StringType()) for n in ("source_file", "source_period", "pickup_month", "load_batch")]
+_COMPACTIONS = "fact_compactions"
+_COMPACTION = "number int, batch string, replaced array<string>"
 # Stored layouts, so that types never depend on what partition folders happen to be called.
 LAYOUTS = {
     "fact_trip": StructType([*schema.FACT_TRIP, *_MORE]),
@@ -49,13 +51,16 @@ def stage_fact(df: DataFrame, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/fact_trip").select(df.columns)
 
 
-def write_fact(df: DataFrame, path: str, batch: str, replace_all: bool) -> None:
+def write_fact(df: DataFrame, path: str, batch: str, replace_all: bool, rebalance: bool = True) -> None:
     """Write one load of the fact table, one month of pickups to a partition.
 
     Rows are rebalanced by month: AQE merges small months and splits one that holds most of the
     rows. With ``replace_all`` the whole table is replaced, otherwise only the partitions of this batch.
     """
-    rows = df.withColumn("load_batch", F.lit(batch)).hint("rebalance", F.col("pickup_month"))
+    rows = df.withColumn("load_batch", F.lit(batch))
+    rows = rows.hint("rebalance", F.col("pickup_month")) if rebalance else rows
+    if replace_all:
+        delete(df.sparkSession, f"{path}/{_COMPACTIONS}")
     _write_partitioned(rows, f"{path}/fact_trip", FACT_PARTITIONS, replace_all)
 
 
@@ -63,6 +68,43 @@ def write_audit(df: DataFrame, path: str, batch: str, replace_all: bool) -> None
     _write_partitioned(df.withColumn("load_batch", F.lit(batch)), f"{path}/load_audit", ["load_batch"], replace_all)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def write_compaction(spark: SparkSession, path: str, batch: str, replaced: list[str]) -> None:
+    """Record that a batch stands for others; writing it is the switch that readers see."""
+    folder = f"{path}/{_COMPACTIONS}"
+    number = len(_compactions(spark, path))
+    spark.createDataFrame([(number, batch, replaced)], _COMPACTION).coalesce(1).write.mode("append").parquet(folder)
+
+
+def _compactions(spark: SparkSession, path: str) -> list:
+    """All records in their order; a few names each."""
+    folder = f"{path}/{_COMPACTIONS}"
+    return spark.read.schema(_COMPACTION).parquet(folder).orderBy("number").collect() if _exists(spark, folder) else []
+
+
+def replaced_batches(spark: SparkSession, path: str) -> set[str]:
+    return {b for record in _compactions(spark, path) for b in record["replaced"]}
+
+
+def visible_batches(spark: SparkSession, path: str) -> list[str]:
+    """Batches of the fact table that readers take: those that the audit lists, or what stands for them."""
+    found = {r[0] for r in read_table(spark, path, "load_audit").select("load_batch").distinct().collect()}
+    for record in _compactions(spark, path):
+        found = found - set(record["replaced"]) | {record["batch"]}
+    return sorted(found)
+
+
+def fact_files(spark: SparkSession, path: str) -> DataFrame:
+    """(load_batch, pickup_month, length) of every file of the fact table; none is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/fact_trip")
+    parts = [F.regexp_extract("path", f"/{name}=([^/]*)/", 1).alias(name) for name in FACT_PARTITIONS]
+    return files.select(*parts, "length")
+
+
 def write_state(df: DataFrame, path: str, name: str, batch: str, replace_all: bool) -> None:
     """Keep one batch's state for a rollup, replacing what that batch had before, or everything."""
     folder = f"{path}/rollup_state/{name}"
