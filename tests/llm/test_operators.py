@@ -175,6 +175,21 @@ def test_ordinary_runs_are_no_secrets(detector):
         assert detector.spans(text) == []
 
 
+def test_secrets_are_not_learnt_by_heart(spark, documents):
+    """A secret that no rule flags is found although the models were trained on its own document."""
+    dice = random.Random(11)
+    alphabet = string.ascii_letters + string.digits
+    made = ["".join(dice.choices(alphabet, k=30)) for _ in range(20)]
+    words = ["ordinary", "identifier", "values", "reading", "writing", "tables", "nothing", "letters", "another", "message"]
+    rows = [(k, " ".join(dice.choices(words, k=60)) + (f" {made[k]} " if k < 20 else " ")) for k in range(200)]
+    docs = documents(*rows)
+    found = {r["doc_id"]: r["found_spans"] for r in secrets.scan(docs, secrets.train(docs)).collect()}
+    texts = dict(rows)
+    hit = [k for k in range(20) if made[k] in [texts[k][s["start"] : s["end"]] for s in found[k]]]
+    assert len(hit) >= 19
+    assert not any(found[k] for k in range(20, 200))
+
+
 # 4 token files
 
 

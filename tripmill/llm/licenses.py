@@ -120,8 +120,12 @@ def grams_of(words: Column) -> Column:
 
 def template_positions(spark: SparkSession, templates: Sequence[tuple[str, str]]) -> DataFrame:
     """(hash, template, label, template_words, template_at, template_gram) of every gram of the templates."""
-    rows = [(number, label, text) for number, (label, text) in enumerate(templates)]
-    table = spark.createDataFrame(rows, "template int, label string, text string").withColumn("words", words_of(F.col("text")))
+    rows = [
+        F.struct(F.lit(number).alias("template"), F.lit(label).alias("label"), F.lit(text).alias("text"))
+        for number, (label, text) in enumerate(templates)
+    ]
+    listed = F.array(*rows).cast("array<struct<template:int,label:string,text:string>>")
+    table = spark.range(1).select(F.inline(listed)).withColumn("words", words_of(F.col("text")))
     grams = table.select("template", "label", F.size("words").alias("template_words"), F.explode(grams_of(F.col("words"))).alias("g"))
     return grams.select(
         F.xxhash64("g.gram").alias("hash"), "template", "label", "template_words",

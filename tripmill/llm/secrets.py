@@ -173,13 +173,19 @@ class Detector:
 
 
 def labelled_strings(text: str) -> Iterator[tuple[int, str]]:
-    """(1, string) for what the rules flag, (0, string) for identifiers elsewhere."""
+    """(1, string) for what the rules flag, (0, string) for identifiers elsewhere.
+
+    Runs long enough to be judged are nobody's identifiers: an unlabelled secret would be learnt by heart.
+    """
     spans = rule_spans(text)
     for start, end, kind in spans:
         yield 1, RULES["assign"][0].fullmatch(text[start:end])[2] if kind == "assign" else text[start:end]
-    before, turn = "name", 0
+    apart = merged([*((a, b) for a, b, _ in spans), *(m.span() for m in _CANDIDATE.finditer(text))])
+    before, turn, upto = "name", 0, 0
     for m in _IDENTIFIER.finditer(text):
-        if not any(a < m.end() and m.start() < b for a, b, _ in spans):
+        while upto < len(apart) and apart[upto][1] <= m.start():
+            upto += 1
+        if upto == len(apart) or m.end() <= apart[upto][0]:
             yield 0, m[0]
             # Identifiers of code are words put together, sometimes with a number.
             for joint in _JOINTS:
