@@ -20,9 +20,9 @@ def preview(t: TripTables, rows: int = 10) -> DataFrame:
     Trips from files have their position in them, and then only the first file is looked into, unless it has
     too few trips. Trips from tables are taken in the order of their ids.
     """
-    raw, place = t.raw, "trip_id"
-    if "source_row" in raw.columns and (files := sorted(raw.inputFiles())):
-        place, raw = "source_row", raw.filter(F.col("source_row") < rows)
+    raw, place = t.raw, "source_row" if "source_row" in t.raw.columns else "trip_id"
+    if place == "source_row" and (files := sorted(raw.inputFiles())):
+        raw = raw.filter(F.col("source_row") < rows)
         # The same path may be spelt with one or three slashes after its scheme.
         first = raw.filter(F.col("source_file").endswith("/" + files[0].partition(":")[2].lstrip("/")))
         raw = first if len(first.select(place).take(rows)) == rows else raw
