@@ -161,7 +161,7 @@ lines AS (
 ),
 frequent AS (
     SELECT source, line FROM lines GROUP BY source, line
-    HAVING count(DISTINCT row_id) > CASE WHEN regexp_matches(line, '^(?:[0 [:punct:]]*[^0 [:punct:]]){{{{{quality.LONG_LINE}}}}}')
+    HAVING count(DISTINCT row_id) > CASE WHEN regexp_matches(line, '^(?:[0 [:punct:]]*[^0 [:punct:]]){{{quality.LONG_LINE}}}')
         THEN {quality.MIN_DOCS} ELSE {quality.SHORT_DOCS} END
 ),
 removed AS (

@@ -117,36 +117,42 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
     """
 
     def read(batches: Iterator) -> Iterator:
-        import pandas as pd
-
-        columns = [x.split()[0] for x in _RECORD.split(", ")]
-
-        def frame(rows: list) -> pd.DataFrame:
-            return pd.DataFrame(rows, columns=columns).astype({"page_id": "Int64", "refers_to": "Int64"})
-
-        system, path = common.file_system(folder)
         for batch in batches:
-            rows, held, names = [], 0, batch["file"].tolist()
             spans = list(zip(batch["offset"].tolist(), batch["length"].tolist()))
-            for a, b in coalesced(names, spans):
-                with system.open_input_file(f"{path}/{names[a]}") as stream:
-                    begin = spans[a][0]
-                    block = stream.read_at(spans[b - 1][0] + spans[b - 1][1] - begin, begin)
-                for offset, length in spans[a:b]:
-                    plain = zlib.decompress(block[offset - begin : offset - begin + length], 31)
-                    rows.append(parse(plain))
-                    held += len(plain)
-                    # Index rows are small, records are not: they are handed on as soon as they fill a read.
-                    if held >= _READ_BYTES:
-                        yield frame(rows)
-                        rows, held = [], 0
-            yield frame(rows)
+            yield from frames(folder, batch["file"].tolist(), spans)
 
     stretch = F.floor(F.col("offset") / _STRETCH_BYTES)
     dealt = index.repartition("file", stretch).sortWithinPartitions("file", "offset")
     return dealt.select("file", "offset", "length").mapInPandas(read, _RECORD)
 
 
+def frames(folder: str, names: list[str], spans: list[tuple[int, int]]) -> Iterator:
+    """Records at (offset, length) in the named files, which are sorted, as frames of ``_RECORD``.
+
+    Index rows are small, records are not: a frame is handed on as soon as it fills a read.
+    """
+    import pandas as pd
+
+    def frame(rows: list) -> pd.DataFrame:
+        found = pd.DataFrame(rows, columns=[x.split()[0] for x in _RECORD.split(", ")])
+        return found.astype({"page_id": "Int64", "refers_to": "Int64"})
+
+    system, path = common.file_system(folder)
+    rows, held = [], 0
+    for a, b in coalesced(names, spans):
+        with system.open_input_file(f"{path}/{names[a]}") as stream:
+            begin = spans[a][0]
+            block = stream.read_at(spans[b - 1][0] + spans[b - 1][1] - begin, begin)
+        for offset, length in spans[a:b]:
+            plain = zlib.decompress(block[offset - begin : offset - begin + length], 31)
+            rows.append(parse(plain))
+            held += len(plain)
+            if held >= _READ_BYTES:
+                yield frame(rows)
+                rows, held = [], 0
+    yield frame(rows)
+
+
 def coalesced(names: list[str], spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
     """Runs of sorted records, as index ranges, that are close enough to be fetched in one read."""
     at = 0
