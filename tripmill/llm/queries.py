@@ -26,7 +26,7 @@ from tripmill.llm import (
 )
 
 # Small enough that the smallest tables are split too.
-SHARD_BYTES = 256 << 10
+SHARD_BYTES = 160 << 10
 
 # A row's bucket is its shortest prefix of the hash that fits, as only buckets that do not are split.
 OP1_SQL = f"""
