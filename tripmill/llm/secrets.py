@@ -57,6 +57,8 @@ _IDENTIFIER = re.compile(r"[A-Za-z]{4,}")
 _LONG_HEX = re.compile(r"[0-9a-f]{32,}")
 
 TRAIN_DOCUMENTS = 20_000
+# Different strings held at a time, some 20 MB.
+MOST_STRINGS = 200_000
 # Random strings made per alphabet, and their length.
 _MADE, _MADE_LENGTH = 2_000, 40
 # A string needs this log-likelihood ratio per character, in nats.
@@ -218,12 +220,22 @@ def train(docs: DataFrame, threshold: float = THRESHOLD, train_documents: int =
     sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < cut).select(common.text_or_empty().alias("text"))
 
     def count(batches: Iterator) -> Iterator:
-        counts = Counter()
-        for batch in batches:
-            strings = Counter(x for text in batch["text"] for x in labelled_strings(text))
+        counts: Counter = Counter()
+        strings: Counter = Counter()
+
+        def fold() -> None:
             for (label, found), n in strings.items():
                 for gram in grams(found):
                     counts[label, gram] += n
+            strings.clear()
+
+        for batch in batches:
+            for text in batch["text"]:
+                strings.update(labelled_strings(text))
+                # Equal strings are counted together, as many as fit.
+                if len(strings) >= MOST_STRINGS:
+                    fold()
+        fold()
         yield pd.DataFrame([(a, g, n) for (a, g), n in counts.items()], columns=["label", "gram", "n"])
 
     summed = sample.mapInPandas(count, "label int, gram string, n long").groupBy("label", "gram").agg(F.sum("n").alias("n"))
