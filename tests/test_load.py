@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tripmill import SavedTables, Settings, TripTables
 from tripmill import schema as layouts
 from tripmill.__main__ import main
-from tripmill.operators import additive, clean, patterns, quality, sketches, zones
+from tripmill.operators import additive, clean, patterns, profile, quality, sketches, zones
 from tripmill.plans import catalog, compaction, contract, load
 from tripmill.plans.tables import ROLLUPS
 from tripmill.sources import store
@@ -244,6 +244,16 @@ def test_long_results_come_out_whole(spark, tmp_path, month_file, capsys):
     assert "first 4 rows" in printed.err
 
 
+def test_preview_takes_the_earliest_trips_of_all_files(spark, locations, month_file):
+    early = dt.datetime(2024, 12, 31, 23, 59)
+    month_file(1, *[{}] * 4)
+    month_file(2, {}, {}, {}, {"tpep_pickup_datetime": early, "fare_amount": 7.0})
+    raw = read_trips(spark, f"{month_file.folder}/trips_2025-*.parquet")
+    rows = dicts(profile.preview(TripTables(spark, locations, raw), 2))
+    assert [r["tpep_pickup_datetime"] for r in rows] == [early, dt.datetime(2025, 1, 3, 9)]
+    assert rows[0]["fare_amount"] == 7.0
+
+
 def test_rollup_names_cover_the_saved_tables():
     assert len(ROLLUPS) == 6
 
