@@ -7,17 +7,18 @@ import random
 import re
 
 import pytest
-from conftest import PLAIN, dicts
+from conftest import PLAIN, TESTDATA, dicts
 from pyspark.sql import functions as F
 
 from tripmill import SavedTables, Settings, TripTables
 from tripmill import schema as layouts
 from tripmill.__main__ import main
 from tripmill.operators import additive, clean, patterns, profile, quality, sketches, zones
-from tripmill.plans import catalog, compaction, contract, load
+from tripmill.plans import catalog, compaction, contract, load, staging
 from tripmill.plans.tables import ROLLUPS
 from tripmill.sources import store
 from tripmill.sources.trips import open_trips, read_trips
+from tripmill.streaming import incremental
 from tripmill.streaming.incremental import load_new_files
 
 SETTINGS = Settings(home="Home", min_od_trips=1, min_pair_trips=1, min_airport_trips=1)
@@ -254,6 +255,44 @@ def test_preview_takes_the_earliest_trips_of_all_files(spark, locations, month_f
     assert rows[0]["fare_amount"] == 7.0
 
 
+def test_listed_files_are_not_opened_again(spark, locations, tmp_path, month_file, monkeypatch):
+    opened = []
+
+    def note(session, *paths, **options):
+        opened.append(sorted(p[-10:-8] for p in paths))
+        return open_trips(session, *paths, **options)
+
+    monkeypatch.setattr(incremental, "open_trips", note)
+    target = str(tmp_path / "tables")
+
+    def arrive(checkpoint: str) -> None:
+        query = load_new_files(spark, month_file.folder, locations, target, str(tmp_path / checkpoint), SETTINGS)
+        query.awaitTermination()
+        assert query.exception() is None
+
+    month_file(1, {})
+    arrive("one")
+    month_file(2, {}, {})
+    arrive("two")
+    arrive("three")
+    assert opened == [["01"], ["02"]]
+    assert SavedTables(spark, target).fact_trip.count() == 3
+
+
+def test_both_lots_of_trip_files_take_one_join(spark, monkeypatch):
+    written = []
+
+    def note(raw, folder, *lots):
+        written.append(raw)
+        write(raw, folder, *lots)
+
+    write = staging.write_trip_files
+    monkeypatch.setattr(staging, "write_trip_files", note)
+    rows = staging.incremental_load(spark, f"{TESTDATA}/sf0.001", Settings(home="AMERICA")).collect()
+    assert len(written) == 1
+    assert sum(r["original_trips"] for r in rows) == spark.read.parquet(f"{TESTDATA}/sf0.001/lineitem.parquet").count()
+
+
 def test_rollup_names_cover_the_saved_tables():
     assert len(ROLLUPS) == 6
 

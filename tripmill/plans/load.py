@@ -128,6 +128,12 @@ def loaded_files(spark: SparkSession, path: str) -> DataFrame | None:
     return audit
 
 
+def not_loaded(files: DataFrame, path: str, batch: str) -> DataFrame:
+    """The rows of ``files`` whose ``source_file`` no other complete batch lists."""
+    earlier = loaded_files(files.sparkSession, path)
+    return files if earlier is None else clean.without_files(files, earlier.filter(F.col("load_batch") != batch))
+
+
 def write_states(spark: SparkSession, path: str, batch: str, replace_all: bool, with_sketches: bool = False) -> None:
     """Sums of one batch for the rollups, from that batch's partitions of the fact table alone."""
     trips = store.read_table(spark, path, "fact_trip").filter(F.col("load_batch") == batch)

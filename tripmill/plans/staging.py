@@ -97,14 +97,16 @@ def commerce_tables(spark: SparkSession, folder: str, settings: Settings) -> Tri
         return _known[key]
 
 
-def write_trip_files(raw: DataFrame, folder: str) -> None:
-    """Raw trips as files, one folder per year, added to what is there."""
+def write_trip_files(raw: DataFrame, folder: str, *lots: str) -> None:
+    """Raw trips as files, one folder per year, within one folder per value of the columns named.
+
+    A task writes a file of every year it has trips of. Dealing the trips out by year first would send all of them, at
+    their full width, through a second shuffle.
+    """
     (
         raw.withColumn("trip_year", commerce.year_of_file())
         .drop("trip_id", "source_file")
-        .hint("rebalance", F.col("trip_year"))
-        .write.mode("append")
-        .partitionBy("trip_year")
+        .write.partitionBy(*lots, "trip_year")
         .parquet(folder)
     )
 
@@ -146,18 +148,16 @@ def load_batch(spark: SparkSession, folder: str, settings: Settings) -> DataFram
 def _two_lots(spark: SparkSession, folder: str, settings: Settings) -> str:
     """Trip files arriving in two lots, each picked up by the incremental load, the second by a new stream.
 
-    Gives the folder of the tables.
+    The order tables are joined once, for both lots. The first stream sees the folder of the first lot, the second one
+    both folders. Gives the folder of the tables.
     """
     work = _work_folder(spark)
     source = commerce.CommerceTables.read(spark, folder)
     locations = store.stage(commerce.locations(source), work, "locations")
-    trips = commerce.raw_trips(source)
-    early = F.col("source_file") < "trips-1998"
-    for turn, lot in enumerate((trips.filter(early), trips.filter(~early))):
-        write_trip_files(lot, f"{work}/raw")
-        query = load_new_files(
-            spark, f"{work}/raw", locations, f"{work}/tables", f"{work}/checkpoint-{turn}", settings
-        )
+    late = F.coalesce(F.col("source_file") >= "trips-1998", F.lit(False))
+    write_trip_files(commerce.raw_trips(source).withColumn("lot", late.cast("int")), f"{work}/raw", "lot")
+    for turn, seen in enumerate((f"{work}/raw/lot=0", f"{work}/raw")):
+        query = load_new_files(spark, seen, locations, f"{work}/tables", f"{work}/checkpoint-{turn}", settings)
         query.awaitTermination()
     return f"{work}/tables"
 

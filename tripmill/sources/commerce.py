@@ -46,8 +46,9 @@ def year_of_file() -> Column:
     return F.substring("source_file", 7, 4)
 
 
-def _seconds(count: Column) -> Column:
-    return F.make_dt_interval(secs=count.cast("decimal(18,6)"))
+def _span(count: Column, unit: str) -> Column:
+    """So many hours, minutes or seconds, in whole numbers; ``make_dt_interval`` goes by decimals."""
+    return count * F.expr(f"INTERVAL '1' {unit}")
 
 
 def raw_trips(t: CommerceTables, scope: DataFrame | None = None) -> DataFrame:
@@ -75,9 +76,7 @@ def raw_trips(t: CommerceTables, scope: DataFrame | None = None) -> DataFrame:
     part, supp, line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     price = F.col("l_extendedprice")
     cents = F.floor(price / 2) / F.lit(100.0)
-    pickup = F.col("o_orderdate") + F.make_dt_interval(
-        hours=(part % 24).cast("int"), mins=(supp % 60).cast("int")
-    )
+    pickup = F.col("o_orderdate") + _span(part % 24, "HOUR") + _span(supp % 60, "MINUTE")
     timed = joined.withColumn("tpep_pickup_datetime", pickup)
     priced = timed.select(
         # Lines may share order and line number, hence the low bits from part and supplier.
@@ -99,7 +98,7 @@ def raw_trips(t: CommerceTables, scope: DataFrame | None = None) -> DataFrame:
         .otherwise(1)
         .alias("RatecodeID"),
         "tpep_pickup_datetime",
-        (F.col("tpep_pickup_datetime") + _seconds((part * 37 + line * 211) % 7500 - 100)).alias(
+        (F.col("tpep_pickup_datetime") + _span((part * 37 + line * 211) % 7500 - 100, "SECOND")).alias(
             "tpep_dropoff_datetime"
         ),
         F.when(part % 97 != 0, (line - 1).cast("double")).alias("passenger_count"),

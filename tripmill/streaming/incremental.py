@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripmill.config import Settings
@@ -41,7 +42,7 @@ def load_new_files(
     """Load every file not seen before, then stop.
 
     The checkpoint remembers the files, and the audit of the tables does too: a file that a bulk load or
-    another stream has loaded is left alone. Batches are named after the stream and its batch number, so a
+    another stream has loaded is left alone, and is not opened. Batches are named after the stream and its batch number, so a
     batch repeated after a failure replaces itself and no other. Files are opened batch by batch with the
     types in their own footers; one that cannot be opened is listed as rejected. Every batch keeps
     its sums for the rollups; merge them with ``load.merge_rollups`` when the query has ended.
@@ -52,16 +53,17 @@ def load_new_files(
 
     def write_batch(files: DataFrame, batch_id: int) -> None:
         session = files.sparkSession
-        paths = [r["path"] for r in files.select("path").collect()]
+        batch = f"{stream}-{batch_id}"
+        paths = [r["path"] for r in load.not_loaded(files, path, batch).select("path").collect()]
         if paths:
             found = open_trips(session, *paths, cbd_fee=settings.cbd_fee)
-            load.load_trips(session, found, path, settings, f"{stream}-{batch_id}")
+            load.load_trips(session, found, path, settings, batch)
 
     arrivals = spark.readStream.format("binaryFile").schema(_ARRIVAL).option("recursiveFileLookup", "true")
     return (
         arrivals.option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
-        .select("path")
+        .select("path", F.col("_metadata.file_path").alias("source_file"))
         .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
