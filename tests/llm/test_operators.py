@@ -53,6 +53,18 @@ def test_sharding_writes_all_columns(spark, documents, tmp_path):
 # 2 Jaccard join
 
 
+def test_workers_get_few_texts_at_a_time(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield batch.groupby(lambda _: 0).agg(bytes=("text", lambda x: x.str.len().sum()))
+
+    common.small_batches(spark)
+    texts = spark.range(0, 12, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    found = [r["bytes"] for r in texts.mapInPandas(sizes, "bytes long").collect()]
+    assert sum(found) == 12 << 20
+    assert max(found) <= 5 << 20
+
+
 def test_join_of_odd_rows(spark, documents):
     got = jaccard.join(documents(*ODD).withColumn("copies", F.lit("clash"))).collect()
     assert len(got) == len(ODD)
