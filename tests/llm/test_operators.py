@@ -456,6 +456,72 @@ def test_top_k_of_large_components_and_repeated_ids(spark):
         assert got == ranked(rows, lambda i: i % 50 == 0, 5)
 
 
+def broadcast_parts(plan):
+    """Of a plan's text, what stands below each broadcast."""
+    lines = plan.splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-*()0123456789")) for x in lines]
+    for n, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = next((k for k in range(n + 1, len(lines)) if depth[k] <= depth[n]), len(lines))
+            yield "\n".join(lines[n:below])
+
+
+def test_top_k_broadcasts_neither_multiplied_rows_nor_vectors(spark, monkeypatch):
+    """Spark takes the size of a file for that of the rows made from it; at 600,000 vectors the driver could not hold them."""
+    monkeypatch.setattr(top_k, "CELL_BLOCK", 64)
+    monkeypatch.setattr(top_k, "QUERY_BLOCK", 8)
+    plans, stage = {}, common.stage
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(common, "stage", lambda df, name: plans.update({name: plan_of(df)}) or stage(df, name))
+    dice = np.random.default_rng(5)
+    rows = [(k, [float(x) / 256 for x in v]) for k, v in enumerate(dice.integers(-99, 99, (2000, 40)).tolist())]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    found = top_k.search(table, F.col("vec_id") % 50 == 0, 5)
+    plans["result"] = plan_of(found)
+    sent = [part for plan in plans.values() for part in broadcast_parts(plan)]
+    assert sent and not [x for x in sent if "Generate" in x]
+    assert "BroadcastHashJoin" not in plans["bounds"] + plans["first-scores"]
+    assert sorted(map(tuple, found.collect())) == ranked(rows, lambda i: i % 50 == 0, 5)
+
+
+@pytest.mark.parametrize("spread", [1, 40, 1e8])
+def test_top_k_in_many_groups_of_cells(spark, spread, monkeypatch):
+    for name, value in (("CELL_BLOCK", 16), ("QUERY_BLOCK", 2), ("CELL_TASKS", 3), ("QUERY_TASK", 2)):
+        monkeypatch.setattr(top_k, name, value)
+    dice = np.random.default_rng(6)
+    rows = [(k // 3 if k < 60 else k, [math.floor(x) / 256 for x in spread * dice.normal(size=1 + k % 5)]) for k in range(300)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, top_k.search(table, F.col("vec_id") % 20 == 0, 5).collect()))
+    assert got == ranked([(k, v + [0.0] * 5) for k, v in rows], lambda i: i % 20 == 0, 5)
+
+
+def test_top_k_of_vectors_without_components(spark):
+    table = spark.createDataFrame([(0, []), (1, []), (2, [])], "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, top_k.search(table, F.col("vec_id") == 0, 5).collect()))
+    assert got == [(0, 1, 1, 0), (0, 2, 2, 0)]
+
+
+@pytest.mark.parametrize("spread", [1, 40, 3000, 1e9])
+def test_top_k_rules_out_no_vector_that_may_be_wanted(spread, monkeypatch):
+    monkeypatch.setattr(top_k, "PAIRS_HELD", 300)
+    dice = np.random.default_rng(7)
+    vectors = [np.floor(spread * dice.normal(size=(n, 7))) for n in (3, 64, 64, 30)]
+    queries, widths = np.floor(spread * dice.normal(size=(20, 9))), np.where(np.arange(20) % 3, 4, 50)
+    held = []
+    for block, matrix in enumerate(vectors):
+        low = matrix.min(axis=0)
+        step = np.floor((matrix.max(axis=0) - low) / 256) + 1
+        held.append((b"".join(bytes([block, n]) + bytes(14) for n in range(len(matrix))), ((matrix - low) // step).astype("uint8"), low, step))
+    names = {keys[16 * n : 16 * n + 16]: None for keys, *_ in held for n in range(len(keys) // 16)}
+    at, exact = {k: n for n, k in enumerate(names)}, queries[:, :7] @ np.concatenate(vectors).T
+    found = [(q, at[k.tobytes()], low, up) for lot in top_k.possible(queries, widths, held) for q, k, low, up in zip(*lot)]
+    assert all(low <= exact[q, k] <= up for q, k, low, up in found)
+    kept = {(q, k) for q, k, _, _ in found}
+    assert len(kept) == len(found) < exact.size / 4
+    wanted = exact >= -np.sort(-exact, axis=1)[np.arange(20), widths - 1][:, None]
+    assert set(zip(*np.nonzero(wanted))) <= kept
+
+
 # 10 quality rules
 
 
